@@ -59,7 +59,7 @@ def ab_attribute(tests: DataFrame, opp: DataFrame, lookback_days: int = 90) -> D
         "account_id",
         "test_start_date",
         F.col("close_date").alias("purchase_date"),
-        F.col("amount").alias("purchase_amount"),
+        F.col("amount").cast("decimal(18,2)").alias("purchase_amount"),
         "opportunity_id",
     )
     joined = tests.join(hits, ["account_id", "test_start_date"], "left")
@@ -68,7 +68,8 @@ def ab_attribute(tests: DataFrame, opp: DataFrame, lookback_days: int = 90) -> D
 
 def _counts() -> list[Column]:
     group, bought = F.col("test_group"), F.coalesce("is_purchased", F.lit(False))
-    revenue = lambda g: F.sum(F.when((group == g) & bought, F.coalesce("purchase_amount", F.lit(0)).cast("double")).otherwise(0.0))
+    # money is summed as decimal: exact, and the same however the rows are partitioned
+    revenue = lambda g: F.coalesce(F.sum(F.when((group == g) & bought, F.col("purchase_amount").cast("decimal(18,2)"))), F.lit(0)).cast("double")
     return [
         *[F.count_if(group == g).alias(f"{g}_count") for g in (TREATMENT, CONTROL)],
         *[F.count_if((group == g) & bought).alias(f"{g}_purchases") for g in (TREATMENT, CONTROL)],

@@ -547,11 +547,11 @@ def _(c: Inputs) -> DataFrame:
     return quality.expect_or_drop(c.voice_fact, VOICE_RULES).select("session_id", "left_at")
 
 
-CHECKED_SQL = """SELECT c_custkey, list_filter([CASE WHEN coalesce(length(c_name) <> 18, true) THEN 'Invalid_Id' END,
-  CASE WHEN coalesce(length(trim(c_mktsegment)) < 9, true) THEN 'Invalid_Name' END], x -> x IS NOT NULL) AS r FROM customer"""
+CHECKED_SQL = """SELECT c_custkey, concat_ws(',', CASE WHEN coalesce(length(c_name) <> 18, true) THEN 'Invalid_Id' END,
+  CASE WHEN coalesce(length(trim(c_mktsegment)) < 9, true) THEN 'Invalid_Name' END) AS reasons FROM customer"""
 
 
-@query("d5_validate_columns", f"SELECT c_custkey, array_to_string(r, ',') AS reasons FROM ({CHECKED_SQL}) WHERE len(r) > 0")
+@query("d5_validate_columns", f"SELECT c_custkey, reasons FROM ({CHECKED_SQL}) WHERE reasons <> ''")
 def _(c: Inputs) -> DataFrame:
     df = quality.add_quarantine_columns(c.table("customer"), AS_OF_TS)
     df = quality.validate_id_column(df, "c_name", "Invalid_Id")
@@ -602,7 +602,7 @@ def _(c: Inputs) -> DataFrame:
     return quality.reason_summary(quality.common_quarantine({"Voice": (_split_voice(c)[1], "session_id")}))
 
 
-REASONS_SQL = f"array_to_string(list_filter([{', '.join(f'CASE WHEN {bad} THEN {chr(39)}{n}{chr(39)} END' for n, bad in zip(VOICE_RULES, VOICE_BAD))}], x -> x IS NOT NULL), ',')"
+REASONS_SQL = "concat_ws(',', " + ", ".join(f"CASE WHEN {bad} THEN '{n}' END" for n, bad in zip(VOICE_RULES, VOICE_BAD)) + ")"
 
 
 @query("d10_quarantine_samples", f"""SELECT 'Voice' AS object_name, session_id AS record_id, {REASONS_SQL} AS reasons, TIMESTAMP '{AS_OF_TS}' AS quarantine_ts
@@ -766,7 +766,7 @@ TRIMMED = "trim({}, concat(' ', chr(9), chr(10), chr(13), chr(11), chr(12), chr(
 
 @query("m11_build_prompts", f"""SELECT conv_id, turn, concat('[System / Role]', chr(10), 'Write an announcement.', {BLOCK_SQL}, chr(10), chr(10),
   '[Single-parameter Examples]', chr(10), 'Tone: calm -> plain words', CASE WHEN {TRIMMED.format('facts')} <> '' THEN concat(chr(10), chr(10), '[Context facts]', chr(10), {TRIMMED.format('facts')}) ELSE '' END,
-  chr(10), chr(10), '[User request (natural language)]', chr(10), {TRIMMED.format('text')}, chr(10), chr(10), '[Output instruction]', chr(10), 'Return the text only.') AS full_prompt
+  chr(10), chr(10), '[User request (natural language)]', chr(10), {TRIMMED.format('text')}, chr(10), chr(10), '[Output instruction]Return the text only.') AS full_prompt
   FROM (SELECT conv_id, turn, text, role AS tone, CASE WHEN role = 'user' THEN concat('  turn ', turn, chr(10)) WHEN turn > 3 THEN '  ' END AS facts FROM conversations)""")
 def _(c: Inputs) -> DataFrame:
     facts_ = F.when(F.col("role") == "user", F.concat(F.lit("  turn "), F.col("turn").cast("string"), F.lit("\n"))).when(F.col("turn") > 3, "  ")

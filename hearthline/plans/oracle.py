@@ -168,7 +168,7 @@ view("ab_assigned", """SELECT account_id, product_id, 'test_2001' AS test_id, DA
   CASE WHEN concat('0x', substr(md5(concat('test_2001', '|', account_id, '|', product_id)), 1, 8))::BIGINT / 4294967296.0 < 0.5
     THEN 'treatment' ELSE 'control' END AS test_group FROM fx_unit""")
 view("ab_results", """SELECT a.*, h.purchase_date, h.purchase_amount, h.opportunity_id, h.opportunity_id IS NOT NULL AS is_purchased
-  FROM ab_assigned a LEFT JOIN (SELECT account_id, close_date AS purchase_date, amount AS purchase_amount, opportunity_id
+  FROM ab_assigned a LEFT JOIN (SELECT account_id, close_date AS purchase_date, CAST(amount AS DECIMAL(18,2)) AS purchase_amount, opportunity_id
     FROM fx_opportunity WHERE is_won AND close_date BETWEEN DATE '2001-01-15' AND DATE '2001-01-15' + INTERVAL 90 DAY
     QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY close_date, opportunity_id) = 1) h USING (account_id)""")
 view("survival", """SELECT *, datediff('day', created_date, CASE WHEN is_closed THEN close_date ELSE DATE '2001-08-02' END) AS duration_days,

@@ -76,11 +76,11 @@ class Inputs(Fixtures):
         return experiments.ab_attribute(self.ab_tests, self.opportunities)
 
 
-def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
+def tidy(df: DataFrame, digits: int = 6, special: dict[str, int] | None = None) -> DataFrame:
     """Rounded floats and 64-bit integers, so that two engines can be compared value by value."""
     def column(f: T.StructField):
         if isinstance(f.dataType, (T.DoubleType, T.DecimalType)):
-            return F.round(F.col(f.name).cast("double"), digits).alias(f.name)
+            return F.round(F.col(f.name).cast("double"), (special or {}).get(f.name, digits)).alias(f.name)
         if isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             return F.col(f.name).cast("bigint").alias(f.name)
         return F.col(f.name)
@@ -89,12 +89,14 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def query(name: str, oracle: str | None = None, floats: str = "", ints: str = "", digits: int = 6) -> Callable[[Build], Build]:
-    """Register a query. ``oracle`` is SQL over the views; its ``floats`` are rounded and its ``ints`` cast to
-    BIGINT as ``tidy`` does on the Spark side."""
+    """Register a query. ``oracle`` is SQL over the views; its ``floats`` (``name`` or ``name:digits``) are
+    rounded and its ``ints`` cast to BIGINT as ``tidy`` does on the Spark side."""
+    places = {n: int(d or digits) for n, _, d in (f.partition(":") for f in floats.split())}
+
     def register(build: Build) -> Build:
-        QUERIES[name] = lambda c: tidy(build(c), digits)
+        QUERIES[name] = lambda c: tidy(build(c), digits, places)
         if oracle is not None:
-            fixed = [f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" for c in floats.split()]
+            fixed = [f"round(CAST({c} AS DOUBLE), {d}) AS {c}" for c, d in places.items()]
             fixed += [f"CAST({c} AS BIGINT) AS {c}" for c in ints.split()]
             ORACLES[name] = sql(f"SELECT * REPLACE ({', '.join(fixed)}) FROM ({oracle})" if fixed else oracle)
         return build

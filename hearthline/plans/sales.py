@@ -72,7 +72,7 @@ def _(c: Inputs) -> DataFrame:
 
 
 @query("r7_risk_priority", """SELECT opportunity_id, priority_score, CASE WHEN priority_score >= 100 THEN 'Critical' WHEN priority_score >= 50 THEN 'High'
-  WHEN priority_score >= 20 THEN 'Medium' ELSE 'Low' END AS priority_level FROM scored_open""", floats="priority_score")
+  WHEN priority_score >= 20 THEN 'Medium' ELSE 'Low' END AS priority_level FROM scored_open""", floats="priority_score:8")
 def _(c: Inputs) -> DataFrame:
     rows = c.opportunities.filter(~F.col("is_closed")).join(c.churn, "opportunity_id")
     return revenue.risk_priority(rows).select("opportunity_id", "priority_score", "priority_level")
@@ -160,7 +160,7 @@ LEVEL = "CASE WHEN priority_score >= 100 THEN 'Critical' WHEN priority_score >=
 
 @query("r14_priority_prospects", f"""SELECT opportunity_id, account_id, amount, win_probability, risk_score, amount * win_probability AS expected_revenue, priority_score, {LEVEL}
   FROM scored_open JOIN fx_prediction USING (opportunity_id) ORDER BY priority_score DESC, opportunity_id LIMIT 20""",
-       floats="amount win_probability risk_score expected_revenue priority_score", digits=4)
+       floats="amount win_probability risk_score expected_revenue priority_score:8", digits=4)
 def _(c: Inputs) -> DataFrame:
     return revenue.priority_prospects(c.opportunities, c.predictions, c.churn)
 
@@ -173,7 +173,7 @@ def _(c: Inputs) -> DataFrame:
 
 
 @query("r16_rep_actions", f"SELECT opportunity_id, billing_state AS owner, account_id, stage_name, amount, risk_score, risk_level, priority_score, {LEVEL} FROM scored_open",
-       floats="amount risk_score priority_score", digits=4)
+       floats="amount risk_score priority_score:8", digits=4)
 def _(c: Inputs) -> DataFrame:
     return revenue.rep_actions(c.opportunities, c.churn, None, "billing_state")
 
@@ -181,7 +181,7 @@ def _(c: Inputs) -> DataFrame:
 @query("r16_rep_risk_summary", """SELECT billing_state AS owner, count(*) AS opportunity_count, count(*) FILTER (risk_level = 'Critical') AS critical_count,
   count(*) FILTER (risk_level = 'High') AS high_count, count(*) FILTER (risk_level = 'Medium') AS medium_count, sum(amount) AS open_amount,
   avg(risk_score) AS avg_risk_score, max(priority_score) AS max_priority_score FROM scored_open GROUP BY 1""",
-       floats="open_amount avg_risk_score max_priority_score", digits=4)
+       floats="open_amount avg_risk_score max_priority_score:8", digits=4)
 def _(c: Inputs) -> DataFrame:
     return revenue.rep_risk_summary(revenue.rep_actions(c.opportunities, c.churn, None, "billing_state"))
 
@@ -240,7 +240,7 @@ def _(c: Inputs) -> DataFrame:
 AB = "treatment control"
 AB_SQL = """count(*) FILTER (test_group = 'treatment') AS treatment_count, count(*) FILTER (test_group = 'control') AS control_count,
   count(*) FILTER (test_group = 'treatment' AND is_purchased) AS treatment_purchases, count(*) FILTER (test_group = 'control' AND is_purchased) AS control_purchases,
-  coalesce(sum(purchase_amount) FILTER (test_group = 'treatment'), 0) AS treatment_revenue, coalesce(sum(purchase_amount) FILTER (test_group = 'control'), 0) AS control_revenue"""
+  CAST(coalesce(sum(purchase_amount) FILTER (test_group = 'treatment'), 0) AS DOUBLE) AS treatment_revenue, CAST(coalesce(sum(purchase_amount) FILTER (test_group = 'control'), 0) AS DOUBLE) AS control_revenue"""
 LIFT_SQL = """SELECT *, t - c AS purchase_rate_lift, (t / nullif(c, 0) - 1) * 100 AS purchase_rate_lift_pct, treatment_revenue - control_revenue AS revenue_lift,
   (treatment_revenue / nullif(control_revenue, 0) - 1) * 100 AS revenue_lift_pct FROM (SELECT *, treatment_purchases / CAST(nullif(treatment_count, 0) AS DOUBLE) AS t,
   control_purchases / CAST(nullif(control_count, 0) AS DOUBLE) AS c FROM (SELECT {dims}, {counts} FROM {source} GROUP BY {n}))"""
@@ -355,8 +355,8 @@ def _(c: Inputs) -> DataFrame:
     return survival.variance_report(df, ["x1", "x2", "x3"])
 
 
-@query("m8_activity_bins", """SELECT CASE WHEN n <= 0 THEN '0' WHEN n <= 3 THEN '1-3' WHEN n <= 10 THEN '4-10' ELSE '11+' END AS activity_bin, count(*) AS accounts
-  FROM (SELECT account_id, count(*) FILTER (activity_type = 'task') AS n FROM fx_activity GROUP BY 1) GROUP BY 1""")
+@query("m8_activity_bins", f"""SELECT CASE WHEN n <= 0 THEN '0' WHEN n <= 3 THEN '1-3' WHEN n <= 10 THEN '4-10' ELSE '11+' END AS activity_bin, count(*) AS accounts
+  FROM (SELECT account_id, count(*) FILTER (activity_type = 'task' AND {RECENT}) AS n FROM fx_activity GROUP BY 1) GROUP BY 1""")
 def _(c: Inputs) -> DataFrame:
     counts = revenue.activity_features(c.activities, AS_OF)
     return counts.groupBy(activity_bin(F.col("task_count_last_30days")).alias("activity_bin")).agg(F.count("*").alias("accounts"))

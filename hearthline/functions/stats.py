@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 SKETCH_ACCURACY = 10_000
 
 
-def exact_median(df: DataFrame, col: str) -> DataFrame:
-    """One row ``median``: the interpolated median of ``col``, NULL values ignored.
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with the interpolated median of every column, NULL values ignored.
 
-    The built-in median keeps every distinct value in one buffer. Here a quantile sketch, whose rank error
-    is bounded by 1/accuracy, gives an interval that must hold the middle; rows outside it are only counted,
-    rows inside collapse to one row per value, and the running count goes over those few values.
+    The built-in median keeps every distinct value of a column in one buffer. Here a quantile sketch, whose
+    rank error is bounded by 1/accuracy, gives an interval that must hold the middle. Values outside it are
+    only counted, values inside collapse to one row each, and the running count goes over those few rows.
     """
-    x = F.col(col).cast("double")
     slack = 5.0 / SKETCH_ACCURACY
+    pairs = [F.struct(F.lit(i).alias("c"), F.col(name).cast("double").alias("v")) for i, name in enumerate(columns)]
+    long = df.select(F.inline(F.array(*pairs))).filter("v IS NOT NULL")
     probes = F.array(F.lit(0.5 - slack), F.lit(0.5 + slack))
-    bounds = df.agg(F.percentile_approx(x, probes, SKETCH_ACCURACY).alias("q"))
-    low = bounds.select(F.col("q")[0]).scalar()
-    high = bounds.select(F.col("q")[1]).scalar()
-    # one bucket below, one above, the values themselves in between; map-side partial counts absorb hot values
-    values = (
-        df.filter(x.isNotNull())
-        .select(F.when(x < low, F.lit(-1)).when(x > high, F.lit(1)).otherwise(F.lit(0)).alias("side"), x.alias("v"))
-        .select("side", F.when(F.col("side") == 0, F.col("v")).alias("v"))
-        .groupBy("side", "v")
-        .agg(F.count("*").alias("n"))
+    bounds = long.groupBy("c").agg(F.percentile_approx("v", probes, SKETCH_ACCURACY).alias("q"))
+    # one bounds row per column, so the broadcast side is as small as the column list
+    sided = long.join(F.broadcast(bounds), "c").selectExpr("c", "v", "CASE WHEN v < q[0] THEN -1 WHEN v > q[1] THEN 1 ELSE 0 END AS side")
+    values = sided.selectExpr("c", "side", "IF(side = 0, v, NULL) AS v").groupBy("c", "side", "v").agg(F.count("*").alias("n"))
+    each = W.partitionBy("c")
+    ranked = values.select(
+        "c", "v", "n", F.sum("n").over(each.orderBy("side", "v")).alias("upto"), F.sum("n").over(each).alias("total")
+    )
+    holds = lambda rank: f"upto - n < {rank} AND {rank} <= upto"
+    middle = ranked.groupBy("c").agg(
+        F.expr(
+            f"(max(IF({holds('(total + 1) DIV 2')}, v, NULL)) + max(IF({holds('total DIV 2 + 1')}, v, NULL))) / 2"
+        ).alias("median")
     )
-    total = values.agg(F.sum("n")).scalar()
-    upto = F.sum("n").over(W.orderBy("side", "v"))
-    ranked = values.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
-    lower_rank, upper_rank = F.floor((total + 1) / 2), F.floor(total / 2) + 1
-    at = lambda rank: F.max(F.when((F.col("before") < rank) & (rank <= F.col("upto")), F.col("v")))
-    return ranked.agg(((at(lower_rank) + at(upper_rank)) / 2).alias("median"))
+    return middle.agg(*[F.max(F.when(F.col("c") == i, F.col("median"))).alias(name) for i, name in enumerate(columns)])
 
 
 def hash_fraction(*parts: str | Column) -> Column:

@@ -134,10 +134,8 @@ def channel_hhi(channel_activity: DataFrame, partition_by: str | None = None) ->
     x = F.col(SECONDS)
     measures = [F.sum(x).alias("_total"), F.sum(x * x).alias("_squares")]
     if partition_by is None:
-        market = used.agg(*measures)
-        with_total = used.withColumn("_total", market.select("_total").scalar()).withColumn(
-            "_squares", market.select("_squares").scalar()
-        )
+        market = used.agg(*measures).select(F.struct("_total", "_squares")).scalar()
+        with_total = used.withColumn("_market", market).select("*", "_market._total", "_market._squares")
     else:
         with_total = used.join(used.groupBy(partition_by).agg(*measures), partition_by)
     total = F.nullif(F.col("_total"), F.lit(0.0))

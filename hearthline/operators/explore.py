@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from hearthline.functions.casts import date_lit, name_or_unknown
-from hearthline.functions.stats import exact_median
+from hearthline.functions.stats import exact_medians
 from hearthline.operators.dashboards import growth_pct, rolling_weeks
 from hearthline.operators.filters import by_categories, by_guild, by_month
 from hearthline.operators.gold import MESSAGES
@@ -121,10 +121,16 @@ def session_quadrants(segment: DataFrame) -> DataFrame:
     points = segment.select(
         name_or_unknown("user_name").alias("name"), "user_id", x.alias("avg_session_minutes"), y.alias("active_weeks")
     )
-    mx, my = exact_median(points, "avg_session_minutes").scalar(), exact_median(points, "active_weeks").scalar()
+    medians = exact_medians(points, ["avg_session_minutes", "active_weeks"])
+    middle = medians.select(F.struct("avg_session_minutes", "active_weeks")).scalar()
     length = F.when(F.col("avg_session_minutes") >= F.col("median_minutes"), "long").otherwise("short")
     pace = F.when(F.col("active_weeks") >= F.col("median_weeks"), "steady").otherwise("rare")
-    return points.withColumns({"median_minutes": mx, "median_weeks": my}).withColumn("quadrant", F.concat_ws("-", length, pace))
+    return (
+        points.withColumn("_middle", middle)
+        .select("name", "user_id", "avg_session_minutes", "active_weeks",
+                F.col("_middle.avg_session_minutes").alias("median_minutes"), F.col("_middle.active_weeks").alias("median_weeks"))
+        .withColumn("quadrant", F.concat_ws("-", length, pace))
+    )
 
 
 def wow(df: DataFrame, measure: str, as_of: str | date, day: str = "activity_date") -> DataFrame:

@@ -14,14 +14,19 @@ def purchases(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return joined.groupBy("account_id", "product_id").agg(F.sum("quantity").alias("quantity"))
 
 
+def owners(bought: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Buying accounts with their segment and the number of products they own."""
+    return bought.groupBy("account_id").agg(F.count("*").alias("owned")).join(accounts.select("account_id", "segment"), "account_id")
+
+
 def cooccurrence(bought: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Share of a segment's buyers who bought the product, and the product's place in its segment.
+    """Share of a segment's buyers who bought the product.
 
     Counts go over (segment, product) instead of product pairs inside an order or account: the work stays
     linear in the purchases, however large one basket is.
     """
+    buyers = owners(bought, accounts).groupBy("segment").agg(F.count("*").alias("buyers"))
     tagged = bought.select("account_id", "product_id").join(accounts.select("account_id", "segment"), "account_id")
-    buyers = tagged.groupBy("segment").agg(F.count_distinct("account_id").alias("buyers"))
     share = tagged.groupBy("segment", "product_id").agg(F.count("*").alias("product_buyers"))
     return share.join(buyers, "segment").select(
         "segment", "product_id", (F.col("product_buyers") / F.col("buyers")).alias("cooccurrence_score")
@@ -33,17 +38,16 @@ def recommend(bought: DataFrame, accounts: DataFrame, n: int = 5) -> DataFrame:
 
     Among the first n + b products of a segment, an account with b purchases misses at least n (or all there
     are), so each account asks for exactly those places: rows grow with accounts and purchases, not with
-    accounts x products. Places are cut off at the account's request, never at a fixed number.
+    accounts x products. Places past the end of the segment's list find no product. A place many accounts ask
+    for is a many-to-one join key, which AQE splits when it grows large.
     """
-    scores = cooccurrence(bought, accounts)
-    top = bought.groupBy("account_id").agg(F.count("*").alias("owned")).join(accounts.select("account_id", "segment"), "account_id")
-    places = segment_places(scores)
-    longest = places.groupBy("segment").agg(F.max("place").alias("last_place"))
-    asked = top.join(longest, "segment").select(
-        "account_id", "segment", F.explode(F.sequence(F.lit(1), F.least(F.col("owned") + n, F.col("last_place")).cast("int"))).alias("place")
+    places = segment_places(cooccurrence(bought, accounts))
+    asked = owners(bought, accounts).select(
+        "account_id", "segment", F.explode(F.sequence(F.lit(1), (F.col("owned") + n).cast("int"))).alias("place")
+    )
+    fresh = asked.join(places, ["segment", "place"]).join(
+        bought.select("account_id", "product_id"), ["account_id", "product_id"], "left_anti"
     )
-    candidates = asked.join(places, ["segment", "place"])
-    fresh = candidates.join(bought.select("account_id", "product_id"), ["account_id", "product_id"], "left_anti")
     ranked = top_per_group(fresh, ["account_id"], [F.col("place")], n, rank="recommendation_rank")
     return ranked.select("account_id", "product_id", "cooccurrence_score", "recommendation_rank")
 

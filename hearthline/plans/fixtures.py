@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthline.functions.clock import month_start
 from hearthline.schemas import ddl
 
 AS_OF = "2024-02-01"
@@ -36,12 +35,13 @@ TABLES = {
 }
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _secs(seconds: Column) -> Column:
-    return F.make_dt_interval(secs=seconds)
+CHAT_COLUMNS = [
+    "CAST(100 + event_id % 25 AS STRING) AS channel_id",
+    "CASE WHEN event_id % 25 >= 22 THEN NULL ELSE 10 + (event_id % 25) % 5 END AS category_id",
+    "CAST(1 + (event_id % 25) % 3 AS STRING) AS guild_id",
+    "CAST(user_id AS STRING) AS user_id",
+    "CONCAT('user_', CAST(user_id % 120 AS STRING)) AS user_name",
+]
 
 
 class Fixtures:
@@ -53,67 +53,50 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _chat_columns(self) -> list[Column]:
-        slot = F.col("event_id") % 25
-        return [
-            _text(100 + slot).alias("channel_id"),
-            F.when(slot >= 22, F.lit(None)).otherwise(10 + slot % 5).cast("bigint").alias("category_id"),
-            _text(1 + slot % 3).alias("guild_id"),
-            _text(F.col("user_id")).alias("user_id"),
-            F.concat(F.lit("user_"), _text(F.col("user_id") % 120)).alias("user_name"),
-        ]
-
     @cached_property
     def messages(self) -> DataFrame:
-        e = F.col("event_id")
-        return self.table("events").filter(F.col("event_type").isin("click", "view", "error")).select(
-            _text(e).alias("message_id"),
-            *self._chat_columns(),
-            F.col("props").alias("content"),
-            F.col("ts").alias("timestamp"),
-            F.when(e % 7 == 0, F.lit(None)).otherwise(e % 3).cast("int").alias("attachment_count"),
-            (e % 4).cast("int").alias("reaction_count"),
-            (e % 11 == 0).alias("is_pinned"),
+        return self.table("events").filter("event_type IN ('click', 'view', 'error')").selectExpr(
+            "CAST(event_id AS STRING) AS message_id",
+            *CHAT_COLUMNS,
+            "props AS content",
+            "ts AS timestamp",
+            "CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(event_id % 3 AS INT) END AS attachment_count",
+            "CAST(event_id % 4 AS INT) AS reaction_count",
+            "event_id % 11 = 0 AS is_pinned",
         )
 
     @cached_property
     def voice(self) -> DataFrame:
-        e, ts = F.col("event_id"), F.col("ts")
-        left = (
-            F.when(e % 97 == 0, F.lit(None).cast("timestamp_ntz"))
-            .when(e % 89 == 0, ts - _secs(F.lit(600)))
-            .when(e % 83 == 0, ts + _secs(F.lit(108000)))
-            .otherwise(ts + _secs(F.floor(F.col("value") * 60).cast("int")))
-        )
-        return self.table("events").filter(F.col("event_type").isin("purchase", "signup")).select(
-            F.concat(_text(F.col("user_id")), F.lit("_"), _text(e)).alias("session_id"),
-            *self._chat_columns(),
-            ts.alias("joined_at"),
-            left.alias("left_at"),
+        return self.table("events").filter("event_type IN ('purchase', 'signup')").selectExpr(
+            "CONCAT(CAST(user_id AS STRING), '_', CAST(event_id AS STRING)) AS session_id",
+            *CHAT_COLUMNS,
+            "ts AS joined_at",
+            """CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN ts - INTERVAL 600 SECONDS
+               WHEN event_id % 83 = 0 THEN ts + INTERVAL 30 HOURS
+               ELSE ts + make_dt_interval(0, 0, 0, CAST(floor(value * 60) AS INT)) END AS left_at""",
         )
 
     @cached_property
     def channels(self) -> DataFrame:
-        snaps = F.explode(F.array(F.lit("2024-01-30"), F.lit("2024-01-31"))).alias("snapshot_date")
-        n, r, snap = F.col("n_nationkey"), F.col("r_regionkey"), F.col("snapshot_date")
-        plain = self.table("nation").select("*", snaps).select(
+        """Two daily snapshots of channels and categories; one category is renamed in between."""
+        snaps = "explode(array('2024-01-30', '2024-01-31')) AS snapshot_date"
+        plain = self.table("nation").selectExpr("*", snaps).selectExpr(
             "snapshot_date",
-            _text(1 + n % 3).alias("guild_id"),
-            F.concat(F.lit("guild_"), _text(1 + n % 3)).alias("guild_name"),
-            _text(100 + n).alias("channel_id"),
-            F.when(n % 4 == 3, 2).when(n % 4 == 2, 5).otherwise(0).alias("channel_type"),
-            F.col("n_name").alias("channel_name"),
-            F.when(n >= 22, F.lit(None)).otherwise(10 + n % 5).cast("bigint").alias("category_id"),
+            "CAST(1 + n_nationkey % 3 AS STRING) AS guild_id",
+            "CONCAT('guild_', CAST(1 + n_nationkey % 3 AS STRING)) AS guild_name",
+            "CAST(100 + n_nationkey AS STRING) AS channel_id",
+            "CASE WHEN n_nationkey % 4 = 3 THEN 2 WHEN n_nationkey % 4 = 2 THEN 5 ELSE 0 END AS channel_type",
+            "n_name AS channel_name",
+            "CAST(CASE WHEN n_nationkey >= 22 THEN NULL ELSE 10 + n_nationkey % 5 END AS BIGINT) AS category_id",
         )
-        renamed = (snap == "2024-01-30") & (r == 0)
-        categories = self.table("region").select("*", snaps).select(
+        categories = self.table("region").selectExpr("*", snaps).selectExpr(
             "snapshot_date",
-            F.lit("1").alias("guild_id"),
-            F.lit("guild_1").alias("guild_name"),
-            _text(10 + r).alias("channel_id"),
-            F.lit(4).alias("channel_type"),
-            F.when(renamed, "OLD NAME").otherwise(F.col("r_name")).alias("channel_name"),
-            F.lit(None).cast("bigint").alias("category_id"),
+            "'1' AS guild_id",
+            "'guild_1' AS guild_name",
+            "CAST(10 + r_regionkey AS STRING) AS channel_id",
+            "4 AS channel_type",
+            "CASE WHEN snapshot_date = '2024-01-30' AND r_regionkey = 0 THEN 'OLD NAME' ELSE r_name END AS channel_name",
+            "CAST(NULL AS BIGINT) AS category_id",
         )
         return plain.unionByName(categories)
 
@@ -121,78 +104,62 @@ class Fixtures:
     def voice_events(self) -> DataFrame:
         """Join and leave events; channels without category send no joins."""
         who = ["guild_id", "user_id", "channel_id"]
-        joins = self.voice.filter(F.col("category_id").isNotNull()).select(
-            *who, F.lit("join").alias("kind"), F.col("joined_at").alias("ts")
-        )
-        leaves = self.voice.filter(F.col("left_at").isNotNull() & (F.col("left_at") >= F.col("joined_at"))).select(
-            *who, F.lit("leave").alias("kind"), F.col("left_at").alias("ts")
-        )
+        joins = self.voice.filter("category_id IS NOT NULL").selectExpr(*who, "'join' AS kind", "joined_at AS ts")
+        leaves = self.voice.filter("left_at >= joined_at").selectExpr(*who, "'leave' AS kind", "left_at AS ts")
         return joins.unionByName(leaves)
 
     @cached_property
     def opportunities(self) -> DataFrame:
-        day = F.col("o_orderdate").cast("date")
-        return (
-            self.table("orders")
-            .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("o_orderkey").alias("opportunity_id"),
-                F.col("o_custkey").alias("account_id"),
-                F.col("o_totalprice").alias("amount"),
-                (F.col("o_orderstatus") != "O").alias("is_closed"),
-                (F.col("o_orderstatus") == "F").alias("is_won"),
-                day.alias("created_date"),
-                F.date_add(day, (F.col("o_orderkey") % 180).cast("int")).alias("close_date"),
-                F.col("o_orderpriority").alias("stage_name"),
-                F.lit(1).alias("is_current"),
-                F.col("n_name").alias("billing_state"),
-                F.col("c_mktsegment").alias("industry"),
-            )
+        customers = self.table("customer").join(self.table("nation"), F.expr("c_nationkey = n_nationkey"))
+        return self.table("orders").join(customers, F.expr("o_custkey = c_custkey")).selectExpr(
+            "o_orderkey AS opportunity_id",
+            "o_custkey AS account_id",
+            "o_totalprice AS amount",
+            "o_orderstatus <> 'O' AS is_closed",
+            "o_orderstatus = 'F' AS is_won",
+            "CAST(o_orderdate AS DATE) AS created_date",
+            "date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 180 AS INT)) AS close_date",
+            "o_orderpriority AS stage_name",
+            "1 AS is_current",
+            "n_name AS billing_state",
+            "c_mktsegment AS industry",
         )
 
     @cached_property
     def predictions(self) -> DataFrame:
         """Orders of one priority have no prediction; every third prediction has a close date."""
-        k = F.col("o_orderkey")
-        later = F.date_add(F.col("o_orderdate").cast("date"), (200 + k % 300).cast("int"))
-        return self.table("orders").filter(F.col("o_orderpriority") != "4-NOT SPECIFIED").select(
-            k.alias("opportunity_id"),
-            ((k % 100).cast("double") / 100).alias("win_probability"),
-            F.when(k % 3 == 0, later).alias("predicted_close_date"),
+        return self.table("orders").filter("o_orderpriority <> '4-NOT SPECIFIED'").selectExpr(
+            "o_orderkey AS opportunity_id",
+            "CAST(o_orderkey % 100 AS DOUBLE) / 100 AS win_probability",
+            "IF(o_orderkey % 3 = 0, date_add(CAST(o_orderdate AS DATE), CAST(200 + o_orderkey % 300 AS INT)), NULL) AS predicted_close_date",
         )
 
     @cached_property
     def targets(self) -> DataFrame:
         """Monthly revenue targets: the amount of all opportunities due in the month."""
-        return self.opportunities.groupBy(month_start(F.col("close_date")).alias("period")).agg(
+        return self.opportunities.groupBy(F.expr("trunc(close_date, 'MM')").alias("period")).agg(
             F.sum("amount").alias("target_revenue")
         )
 
     @cached_property
     def opportunity_history(self) -> DataFrame:
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("opportunity_id"),
-            F.col("l_returnflag").alias("stage_name"),
-            F.col("l_extendedprice").alias("amount"),
-            F.col("l_shipdate").alias("changed_at"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS opportunity_id", "l_returnflag AS stage_name", "l_extendedprice AS amount", "l_shipdate AS changed_at"
         )
 
     @cached_property
     def activities(self) -> DataFrame:
-        kind = F.when(F.col("event_type") == "signup", "task").when(F.col("event_type") == "purchase", "meeting").otherwise("event")
-        return self.table("events").select(
-            F.col("user_id").alias("account_id"),
-            kind.alias("activity_type"),
-            F.col("ts").cast("date").alias("activity_date"),
-            (F.col("event_id") % 3 == 0).alias("is_open"),
+        return self.table("events").selectExpr(
+            "user_id AS account_id",
+            "CASE event_type WHEN 'signup' THEN 'task' WHEN 'purchase' THEN 'meeting' ELSE 'event' END AS activity_type",
+            "CAST(ts AS DATE) AS activity_date",
+            "event_id % 3 = 0 AS is_open",
         )
 
     @cached_property
     def ab_units(self) -> DataFrame:
         return (
-            self.table("orders")
-            .join(self.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-            .select(F.col("o_custkey").alias("account_id"), F.col("l_partkey").alias("product_id"))
+            self.table("orders").join(self.table("lineitem"), F.expr("o_orderkey = l_orderkey"))
+            .selectExpr("o_custkey AS account_id", "l_partkey AS product_id")
             .distinct()
         )

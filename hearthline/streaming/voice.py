@@ -86,7 +86,7 @@ def _advance(on_move: str, timeout_ms: int):
             return
         pending = state.get if state.exists else None
         rows = []
-        events = pd.concat(list(batches))
+        events = pd.concat([b[["channel_id", "kind", "ts"]] for b in batches])
         leave_first = events["kind"].map({"leave": 0}).fillna(1)
         events = events.assign(_o=leave_first).sort_values(["ts", "_o", "channel_id"])
         for e in events.itertuples(index=False):
@@ -105,6 +105,8 @@ def _advance(on_move: str, timeout_ms: int):
             state.update(pending)
             alive = max(int(pd.Timestamp(pending[1]).timestamp() * 1000), state.getCurrentWatermarkMs())
             state.setTimeoutTimestamp(alive + timeout_ms)
+        if not rows:
+            return
         out = pd.DataFrame(rows, columns=["guild_id", "user_id", "channel_id", "joined_at", "left_at"])
         for c in ("joined_at", "left_at"):
             out[c] = pd.to_datetime(out[c])
@@ -115,7 +117,9 @@ def _advance(on_move: str, timeout_ms: int):
 
 def sessionize_voice(events: DataFrame, on_move: str = "drop", timeout_hours: int = 24, delay: str = "10 minutes") -> DataFrame:
     """Streaming twin: the pending join of each member lives in the checkpointed state store and is given up
-    after ``timeout_hours`` of event time. Events arrive in time order between micro-batches."""
+    after ``timeout_hours`` of event time. Events arrive in time order between micro-batches; inside one, each
+    member's events are sorted in memory, so the source's rate limit (``maxFilesPerTrigger`` and the like)
+    bounds what a task holds."""
     if on_move not in ("drop", "split"):
         raise ValueError("on_move is drop or split")
     timed = events if events.schema["ts"].dataType.typeName() == "timestamp" else events.withColumn("ts", instant(F.col("ts")))

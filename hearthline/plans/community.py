@@ -43,6 +43,12 @@ PAYLOAD_SQL = """SELECT '2024-01-31' AS snapshot_date, CAST(10000 + o_custkey AS
   FROM orders WHERE o_orderstatus = 'F'"""
 
 
+@query("s3_channels_raw", """SELECT snapshot_date, guild_id, guild_name, channel_id, channel_type, channel_name, category_id, NULL::BIGINT AS parent_id
+  FROM fx_channels""", ints="channel_type")
+def _(c: Inputs) -> DataFrame:
+    return conform(c.channels, CHANNELS_RAW)
+
+
 @query("s9_flatten_channels", PAYLOAD_SQL, ints="channel_type")
 def _(c: Inputs) -> DataFrame:
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -213,9 +219,8 @@ def _(c: Inputs) -> DataFrame:
   FULL JOIN (SELECT CAST(user_id AS BIGINT) AS user_id, concat('old_', max(user_name)) AS user_name FROM fx_messages GROUP BY 1) o
   ON n.user_id = o.user_id""")
 def _(c: Inputs) -> DataFrame:
-    nothing = c.voice.limit(0)
-    existing = dims.user_dim(c.messages, nothing).withColumn("user_name", F.concat(F.lit("old_"), "user_name"))
-    return dims.scd1_merge(dims.user_dim(c.voice, nothing), existing, ["user_id"])
+    existing = dims.user_dim(c.messages).withColumn("user_name", F.concat(F.lit("old_"), "user_name"))
+    return dims.scd1_merge(dims.user_dim(c.voice), existing, ["user_id"])
 
 
 # --- gold --------------------------------------------------------------------------------------------------
@@ -305,6 +310,12 @@ def _(c: Inputs) -> DataFrame:
     return dashboards.channel_table(c.channel_activity)
 
 
+@query("q8_latest_channels", """SELECT channel_id, channel_name, category_id FROM fx_channels
+  WHERE snapshot_date = (SELECT max(snapshot_date) FROM fx_channels) AND channel_type IN (0, 5)""")
+def _(c: Inputs) -> DataFrame:
+    return dashboards.latest_channels(c.channels)
+
+
 @query("q9_user_activity_hours", f"SELECT *, {VS} / 3600.0 AS voice_duration_hours FROM gold_user", floats=f"{VS} voice_duration_hours")
 def _(c: Inputs) -> DataFrame:
     return dashboards.with_voice_hours(c.user_activity)

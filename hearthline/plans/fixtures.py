@@ -98,7 +98,17 @@ class Fixtures:
             "CASE WHEN snapshot_date = '2024-01-30' AND r_regionkey = 0 THEN 'OLD NAME' ELSE r_name END AS channel_name",
             "CAST(NULL AS BIGINT) AS category_id",
         )
-        return plain.unionByName(categories)
+        # member-made channels: one per customer, with every fifth type a category that is renamed in between
+        own = self.table("customer").selectExpr("*", snaps).selectExpr(
+            "snapshot_date",
+            "CAST(1 + c_nationkey % 3 AS STRING) AS guild_id",
+            "CONCAT('guild_', CAST(1 + c_nationkey % 3 AS STRING)) AS guild_name",
+            "CAST(1000000 + c_custkey AS STRING) AS channel_id",
+            "CASE c_mktsegment WHEN 'BUILDING' THEN 4 WHEN 'MACHINERY' THEN 2 WHEN 'FURNITURE' THEN 5 ELSE 0 END AS channel_type",
+            "IF(snapshot_date = '2024-01-30', CONCAT('zz ', c_name), c_name) AS channel_name",
+            "IF(c_mktsegment = 'BUILDING', NULL, CAST(10 + c_nationkey % 5 AS BIGINT)) AS category_id",
+        )
+        return plain.unionByName(categories).unionByName(own)
 
     @cached_property
     def voice_events(self) -> DataFrame:

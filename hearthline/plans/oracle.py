@@ -54,7 +54,12 @@ view("fx_channels", """SELECT s.snap AS snapshot_date, CAST(1 + n_nationkey % 3
   FROM nation, (SELECT '2024-01-30' AS snap UNION ALL SELECT '2024-01-31') s
   UNION ALL SELECT s.snap, '1', 'guild_1', CAST(10 + r_regionkey AS VARCHAR), 4,
   CASE WHEN s.snap = '2024-01-30' AND r_regionkey = 0 THEN 'OLD NAME' ELSE r_name END, NULL
-  FROM region, (SELECT '2024-01-30' AS snap UNION ALL SELECT '2024-01-31') s""")
+  FROM region, (SELECT '2024-01-30' AS snap UNION ALL SELECT '2024-01-31') s
+  UNION ALL SELECT s.snap, CAST(1 + c_nationkey % 3 AS VARCHAR), CONCAT('guild_', CAST(1 + c_nationkey % 3 AS VARCHAR)), CAST(1000000 + c_custkey AS VARCHAR),
+  CASE c_mktsegment WHEN 'BUILDING' THEN 4 WHEN 'MACHINERY' THEN 2 WHEN 'FURNITURE' THEN 5 ELSE 0 END,
+  CASE WHEN s.snap = '2024-01-30' THEN CONCAT('zz ', c_name) ELSE c_name END,
+  CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(10 + c_nationkey % 5 AS BIGINT) END
+  FROM customer, (SELECT '2024-01-30' AS snap UNION ALL SELECT '2024-01-31') s""")
 view("fx_voice_events", """SELECT guild_id, user_id, channel_id, 'join' AS kind, joined_at AS ts FROM fx_voice WHERE category_id IS NOT NULL
   UNION ALL SELECT guild_id, user_id, channel_id, 'leave', left_at FROM fx_voice WHERE left_at >= joined_at""")
 view("fx_opportunity", """SELECT o_orderkey AS opportunity_id, o_custkey AS account_id, o_totalprice AS amount,

@@ -20,32 +20,26 @@ def _event_order() -> list[Column]:
     return [F.col("ts"), F.expr(KIND_ORDER), F.col("channel_id")]
 
 
-def _neighbour(events: DataFrame, value: Column, out: str, following: bool = False) -> DataFrame:
-    """The previous (or following) event's ``value`` of the same member.
+def _with_previous(events: DataFrame, value: Column) -> DataFrame:
+    """``_prev``: the ``value`` of the member's previous event.
 
-    One member may own a large share of all events, so the timeline is cut into weeks: inside a week it is a
-    plain lag, and only the first event of a week looks at the last one of the member's week before, found in a
-    summary with one row per member and week.
+    One member may own a large share of all events, so the timeline is cut into weeks (``_week``): inside a week
+    it is a plain lag, and only the first event of a week looks at the last one of the member's week before.
+    Those last events, one per member and week, come out of the same windows, so the input is shuffled once.
     """
-    shift = F.lead if following else F.lag
-    slot = F.floor(F.unix_date(F.col("ts").cast("date")) / SLICE_DAYS)
-    cut = events.withColumn("_slot", slot).withColumn("_value", value)
-    inside = W.partitionBy(*MEMBER, "_slot").orderBy(*_event_order())
-    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_event_order())])
-    edge = F.min_by("_value", order) if following else F.max_by("_value", order)
-    weeks = cut.groupBy(*MEMBER, "_slot").agg(edge.alias("_edge"))
-    across = weeks.withColumn("_edge", shift("_edge").over(W.partitionBy(*MEMBER).orderBy("_slot")))
-    near = cut.withColumn("_near", shift("_value").over(inside))
-    return (
-        near.join(across, [*MEMBER, "_slot"])
-        .withColumn(out, F.coalesce("_near", "_edge"))
-        .drop("_slot", "_value", "_near", "_edge")
+    week = W.partitionBy(*MEMBER, "_week").orderBy(*_event_order())
+    inside = events.withColumn("_value", value).select(
+        "*", F.lag("_value").over(week).alias("_near"), F.lead("kind").over(week).isNull().alias("_closes")
+    )
+    across = inside.filter("_closes").select(
+        *MEMBER, "_week", F.lag("_value").over(W.partitionBy(*MEMBER).orderBy("_week")).alias("_far")
     )
+    return inside.join(across, [*MEMBER, "_week"]).select(*events.columns, F.coalesce("_near", "_far").alias("_prev"))
 
 
 def _without_repeats(events: DataFrame) -> DataFrame:
     """Drop a join to the channel the member is already in."""
-    seen = _neighbour(events, F.struct("kind", "channel_id"), "_prev")
+    seen = _with_previous(events, F.struct("kind", "channel_id", "ts"))
     repeated = (F.col("kind") == "join") & (F.col("_prev.kind") == "join") & (F.col("_prev.channel_id") == F.col("channel_id"))
     return seen.filter(~F.coalesce(repeated, F.lit(False))).drop("_prev")
 
@@ -57,16 +51,17 @@ def sessionize_batch(events: DataFrame, on_move: str = "drop") -> DataFrame:
     A move to another channel overwrites the pending join (``drop``: the time before the move is lost) or
     closes it (``split``: one row per channel).
     """
-    kept = _without_repeats(events)
-    now, prev = F.struct("kind", "channel_id", "ts"), F.col("_prev")
-    paired = _neighbour(kept, now, "_prev")
+    if on_move not in ("drop", "split"):
+        raise ValueError("on_move is drop or split")
+    week = F.floor(F.unix_date(F.col("ts").cast("date")) / SLICE_DAYS).alias("_week")
+    # members and times are always known; saying so lets both uses of the shuffled events be one
+    weekly = events.select(*MEMBER, "channel_id", "kind", "ts", week).dropna(subset=[*MEMBER, "_week"])
+    paired = _with_previous(_without_repeats(weekly), F.struct("kind", "channel_id", "ts"))
+    prev = F.col("_prev")
     pending = F.coalesce(prev["kind"] == "join", F.lit(False))
-    moved = pending & (F.col("kind") == "join")
     ends = F.col("kind") == "leave"
     if on_move == "split":
-        ends = ends | moved
-    elif on_move != "drop":
-        raise ValueError("on_move is drop or split")
+        ends = ends | pending
     return paired.filter(ends).select(
         *MEMBER,
         F.when(pending, prev["channel_id"]).otherwise(F.col("channel_id")).alias("channel_id"),

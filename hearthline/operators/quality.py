@@ -14,42 +14,40 @@ from pyspark.sql import Column, DataFrame, Observation, Window as W, functions a
 
 from hearthline.functions.bands import quality_grade
 from hearthline.functions.casts import ntz_lit
+from hearthline.functions.clock import DEFAULT_TZ
 from hearthline.operators.dedupe import find_duplicates
 
 Rules = Mapping[str, str]
 
-# Rules of the silver and gold tables, by table.
-TABLE_RULES: dict[str, dict[str, str]] = {
-    "message_fact": {"message_date_matches_timestamp": "DATE(timestamp) = message_date"},
-    "voice_chat_fact": {
-        "session_date_matches_joined_at": "DATE(joined_at) = session_date",
-        "valid_session_duration": "left_at IS NULL OR left_at >= joined_at",
-    },
-    "activity_by_weekday_hour": {
-        **{f"{c}_not_null": f"{c} IS NOT NULL" for c in ("guild_id", "weekday", "hour_slot")},
-        **{f"{c}_non_negative": f"{c} >= 0" for c in ("message_count_aggregated", "voice_duration_seconds_aggregated")},
-    },
-    "activity_daily": {
-        **{f"{c}_not_null": f"{c} IS NOT NULL" for c in ("guild_id", "activity_date")},
-        **{f"{c}_non_negative": f"{c} >= 0" for c in ("message_count_aggregated", "voice_duration_seconds_aggregated")},
-    },
-    "user_activity": {
-        **{f"{c}_not_null": f"{c} IS NOT NULL" for c in ("guild_id", "user_id")},
-        **{f"{c}_non_negative": f"{c} >= 0" for c in ("message_count_aggregated", "voice_duration_seconds_aggregated")},
-    },
-    "channel_activity": {
-        **{f"{c}_not_null": f"{c} IS NOT NULL" for c in ("guild_id", "channel_id")},
-        **{f"{c}_non_negative": f"{c} >= 0" for c in ("message_count_aggregated", "voice_duration_seconds_aggregated")},
-    },
-    "user_voice_summary": {
-        **{f"{c}_not_null": f"{c} IS NOT NULL" for c in ("guild_id", "user_id")},
-        "session_count_aggregated_gte_1": "session_count_aggregated >= 1",
-        **{
-            f"{c}_non_negative": f"{c} >= 0"
-            for c in ("voice_duration_seconds_aggregated", "avg_session_duration_seconds_aggregated")
+MEASURES = ("message_count_aggregated", "voice_duration_seconds_aggregated")
+
+
+def _not_null(*columns: str) -> dict[str, str]:
+    return {f"{c}_not_null": f"{c} IS NOT NULL" for c in columns}
+
+
+def _non_negative(*columns: str) -> dict[str, str]:
+    return {f"{c}_non_negative": f"{c} >= 0" for c in columns}
+
+
+def table_rules(tz: str = DEFAULT_TZ) -> dict[str, dict[str, str]]:
+    """Rule sets of the silver and gold tables. Rule names are fixed values. Event times are UTC and dates are
+    local, so the date rules compare in the zone the facts were built with."""
+    local = lambda c: c if tz == "UTC" else f"convert_timezone('UTC', '{tz}', {c})"
+    return {
+        "message_fact": {"message_date_matches_timestamp": f"DATE({local('timestamp')}) = message_date"},
+        "voice_chat_fact": {
+            "session_date_matches_joined_at": f"DATE({local('joined_at')}) = session_date",
+            "valid_session_duration": "left_at IS NULL OR left_at >= joined_at",
         },
-    },
-}
+        "activity_by_weekday_hour": _not_null("guild_id", "weekday", "hour_slot") | _non_negative(*MEASURES),
+        "activity_daily": _not_null("guild_id", "activity_date") | _non_negative(*MEASURES),
+        "user_activity": _not_null("guild_id", "user_id") | _non_negative(*MEASURES),
+        "channel_activity": _not_null("guild_id", "channel_id") | _non_negative(*MEASURES),
+        "user_voice_summary": _not_null("guild_id", "user_id")
+        | {"session_count_aggregated_gte_1": "session_count_aggregated >= 1"}
+        | _non_negative(MEASURES[1], "avg_session_duration_seconds_aggregated"),
+    }
 
 
 def holds(predicate: str) -> Column:

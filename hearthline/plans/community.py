@@ -514,6 +514,7 @@ def _(c: Inputs) -> DataFrame:
 
 # --- quality -----------------------------------------------------------------------------------------------
 
+TABLE_RULES = quality.table_rules(TZ)
 VOICE_RULES = {"left_known": "left_at IS NOT NULL", "in_order": "left_at >= joined_at", "has_category": "category_id IS NOT NULL"}
 NAME_RULES = {"valid_id": "o_orderkey IS NOT NULL AND length(o_orderpriority) > 5", "valid_amount": "o_totalprice > 1000"}
 VOICE_BAD = ["left_at IS NULL", "coalesce(left_at < joined_at, true)", "category_id IS NULL"]
@@ -525,19 +526,19 @@ def _(c: Inputs) -> DataFrame:
     return quality.expect(c.voice_fact, VOICE_RULES)[1]
 
 
-@query("d1_expect_tables", f"""SELECT 'session_date_matches_joined_at' AS rule, count(*) AS total_records, count(*) FILTER (CAST(joined_at AS DATE) <> session_date) AS violations FROM silver_voice
+@query("d1_expect_tables", f"""SELECT 'session_date_matches_joined_at' AS rule, count(*) AS total_records, count(*) FILTER (CAST(joined_at + INTERVAL 9 HOUR AS DATE) <> session_date) AS violations FROM silver_voice
   UNION ALL SELECT 'valid_session_duration', count(*), count(*) FILTER (left_at < joined_at) FROM silver_voice
-  UNION ALL SELECT 'message_date_matches_timestamp', count(*), count(*) FILTER (CAST("timestamp" AS DATE) <> message_date) FROM silver_message""")
+  UNION ALL SELECT 'message_date_matches_timestamp', count(*), count(*) FILTER (CAST("timestamp" + INTERVAL 9 HOUR AS DATE) <> message_date) FROM silver_message""")
 def _(c: Inputs) -> DataFrame:
-    voice = quality.expect(c.voice_fact, quality.TABLE_RULES["voice_chat_fact"])[1]
-    return voice.unionByName(quality.expect(c.message_fact, quality.TABLE_RULES["message_fact"])[1])
+    voice = quality.expect(c.voice_fact, TABLE_RULES["voice_chat_fact"])[1]
+    return voice.unionByName(quality.expect(c.message_fact, TABLE_RULES["message_fact"])[1])
 
 
 @query("d1_expect_gold", " UNION ALL ".join(
     f"SELECT '{rule}' AS rule, count(*) AS total_records, count(*) FILTER (NOT coalesce({p}, false)) AS violations FROM {v}"
     for v, t in (("gold_wh", "activity_by_weekday_hour"), ("gold_daily", "activity_daily"), ("gold_user", "user_activity"),
                  ("gold_channel", "channel_activity"), ("gold_summary", "user_voice_summary"))
-    for rule, p in quality.TABLE_RULES[t].items()))
+    for rule, p in TABLE_RULES[t].items()))
 def _(c: Inputs) -> DataFrame:
     tables = {
         "activity_by_weekday_hour": c.weekday_hour,
@@ -546,7 +547,7 @@ def _(c: Inputs) -> DataFrame:
         "channel_activity": c.channel_activity,
         "user_voice_summary": c.voice_summary,
     }
-    parts = [quality.expect(df, quality.TABLE_RULES[t])[1] for t, df in tables.items()]
+    parts = [quality.expect(df, TABLE_RULES[t])[1] for t, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

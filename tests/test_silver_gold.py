@@ -4,7 +4,7 @@ from hearthline.functions.bands import hhi_status, traffic_light
 from hearthline.functions.casts import name_or_unknown, safe_bigint, safe_date, safe_timestamp, valid_snowflake
 from hearthline.operators import dashboards, dims, explore, facts, gold
 from hearthline.operators.dedupe import first_per_key
-from hearthline.operators.quality import TABLE_RULES, expect
+from hearthline.operators.quality import expect, table_rules
 from hearthline.schemas import CHANNELS_RAW, MESSAGES_RAW, VOICE_RAW
 from pyspark.sql import functions as F
 
@@ -60,13 +60,19 @@ def test_message_fact_defaults_fallback_and_dedupe(spark):
 def test_leave_without_join_is_kept_flagged_and_not_counted(spark):
     fact = facts.voice_chat_fact(voice(spark, ("s", "10", None, "5", None, "2026-01-05 10:00:00")), RUN, "UTC")
     assert str(fact.first().joined_at) == RUN
-    metrics = {r.rule: r.violations for r in expect(fact, TABLE_RULES["voice_chat_fact"])[1].collect()}
+    metrics = {r.rule: r.violations for r in expect(fact, table_rules("UTC")["voice_chat_fact"])[1].collect()}
     assert metrics == {"session_date_matches_joined_at": 0, "valid_session_duration": 1}
     guild = dims.guild_dim(channels(spark, ("2026-01-01", 10, 0, "c", None)))
     users = dims.user_dim(message(spark, ("1", "10", None, "5", RUN)), voice(spark))
     assert gold.user_voice_summary(fact, users, guild, "2026-02-01", "UTC").count() == 0
 
 
+def test_date_rules_hold_in_the_zone_of_the_facts(spark):
+    late = facts.message_fact(message(spark, ("1", "10", None, "5", "2026-01-05 20:00:00")), RUN, "Asia/Tokyo")
+    count = lambda tz: expect(late, table_rules(tz)["message_fact"])[1].first().violations
+    assert (count("Asia/Tokyo"), count("UTC")) == (0, 1)
+
+
 def test_session_id_is_the_hash_of_the_text(spark):
     fact = facts.voice_chat_fact(voice(spark, ("s1", "10", None, "5", RUN, RUN)), RUN, "UTC")
     assert fact.first().session_id == spark.sql("SELECT xxhash64('s1')").first()[0]

@@ -77,7 +77,14 @@ def _write(spark: SparkSession, layers: Layers, name: str, df: DataFrame, merged
     out = assert_schema(df, schema).select(*schema.names)
     target = layers.name(name)
     if layers.catalog:
-        out.write.mode("overwrite").partitionBy(*PARTITIONS.get(name, [])).saveAsTable(target)
+        save = lambda df, table: df.write.mode("overwrite").partitionBy(*PARTITIONS.get(name, [])).saveAsTable(table)
+        if merged:
+            # a merged dimension reads its own previous version: the new one is complete before that is overwritten
+            save(out, f"{target}_next")
+            out = spark.table(f"{target}_next")
+        save(out, target)
+        if merged:
+            spark.sql(f"DROP TABLE {target}_next")
     elif merged:
         # a merged dimension reads its own previous version, so it is built beside it and swapped in
         promote(spark, target, stage(out, target))
@@ -106,8 +113,6 @@ def refresh(spark: SparkSession, layers: Layers, run: Run, names: Sequence[str]
         try:
             df = step.build(run, *[load(spark, layers, i) for i in step.inputs])
             if step.merge_keys:
-                if layers.catalog and table_exists(spark, layers.name(name)):
-                    raise NotImplementedError("merged dimensions need a root directory, whose versions can be swapped")
                 df = dims.scd1_merge(df, _previous(spark, layers, name), list(step.merge_keys))
             _write(spark, layers, name, df, bool(step.merge_keys))
             outcome.append((name, "ok", None))

@@ -11,13 +11,14 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     # a session zone unlike UTC and unlike the data's zone: results must not depend on it
     session = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -155,6 +155,16 @@ def test_refresh_goes_on_after_a_failure(spark, tmp_path):
     assert outcome == {"guild_dim": "ok", "user_dim": "ok", "activity_daily": "failed"}
 
 
+def test_refresh_in_a_catalog(spark):
+    layers = Layers(catalog="spark_catalog")
+    writers.ensure_tables(spark, layers, ["channels_raw", "guild_dim"])
+    for day, guild in (("2026-01-01", "1"), ("2026-01-02", "2")):
+        snapshot(spark, day, "talk").withColumn("guild_id", F.lit(guild)).select(*spark.table(layers.name("channels_raw")).columns).write.mode("overwrite").insertInto(layers.name("channels_raw"), overwrite=True)
+        assert medallion.refresh(spark, layers, medallion.Run(RUN), ["guild_dim"]) == [("guild_dim", "ok", None)]
+    assert sorted(r.guild_id for r in medallion.load(spark, layers, "guild_dim").collect()) == [1, 2]
+    assert not readers.table_exists(spark, layers.name("guild_dim") + "_next")
+
+
 def test_order_respects_inputs():
     names = medallion.order()
     assert all(names.index(i) < names.index(n) for n, s in medallion.STEPS.items() for i in s.inputs if i in names)

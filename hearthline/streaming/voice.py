@@ -12,6 +12,7 @@ from hearthline.functions.clock import instant
 
 MEMBER = ["guild_id", "user_id"]
 SLICE_DAYS = 7
+KINDS = ("join", "leave")
 KIND_ORDER = "CASE kind WHEN 'leave' THEN 0 ELSE 1 END"
 
 
@@ -29,7 +30,7 @@ def _with_previous(events: DataFrame, value: Column) -> DataFrame:
     """
     week = W.partitionBy(*MEMBER, "_week").orderBy(*_event_order())
     inside = events.withColumn("_value", value).select(
-        "*", F.lag("_value").over(week).alias("_near"), F.lead("kind").over(week).isNull().alias("_closes")
+        "*", F.lag("_value").over(week).alias("_near"), F.lead(F.lit(1)).over(week).isNull().alias("_closes")
     )
     across = inside.filter("_closes").select(
         *MEMBER, "_week", F.lag("_value").over(W.partitionBy(*MEMBER).orderBy("_week")).alias("_far")
@@ -55,7 +56,7 @@ def sessionize_batch(events: DataFrame, on_move: str = "drop") -> DataFrame:
         raise ValueError("on_move is drop or split")
     week = F.floor(F.unix_date(F.col("ts").cast("date")) / SLICE_DAYS).alias("_week")
     # members and times are always known; saying so lets both uses of the shuffled events be one
-    weekly = events.select(*MEMBER, "channel_id", "kind", "ts", week).dropna(subset=[*MEMBER, "_week"])
+    weekly = events.filter(F.col("kind").isin(*KINDS)).select(*MEMBER, "channel_id", "kind", "ts", week).dropna(subset=[*MEMBER, "_week"])
     paired = _with_previous(_without_repeats(weekly), F.struct("kind", "channel_id", "ts"))
     prev = F.col("_prev")
     pending = F.coalesce(prev["kind"] == "join", F.lit(False))
@@ -112,14 +113,16 @@ def _advance(on_move: str, timeout_ms: int):
 
 def sessionize_voice(events: DataFrame, on_move: str = "drop", timeout_hours: int = 24, delay: str = "10 minutes") -> DataFrame:
     """Streaming twin: the pending join of each member lives in the checkpointed state store and is given up
-    after ``timeout_hours`` of event time. Events arrive in time order between micro-batches; inside one, each
+    after ``timeout_hours`` of event time, so a leave that comes later counts as one without join (the batch plan
+    has no such limit). Events arrive in time order between micro-batches; inside one, each
     member's events are sorted in memory, so the source's rate limit (``maxFilesPerTrigger`` and the like)
     bounds what a task holds."""
     if on_move not in ("drop", "split"):
         raise ValueError("on_move is drop or split")
     timed = events if events.schema["ts"].dataType.typeName() == "timestamp" else events.withColumn("ts", instant(F.col("ts")))
     return (
-        timed.withWatermark("ts", delay)
+        timed.filter(F.col("kind").isin(*KINDS))
+        .withWatermark("ts", delay)
         .groupBy(*MEMBER)
         .applyInPandasWithState(
             _advance(on_move, timeout_hours * 3_600_000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout

@@ -39,6 +39,28 @@ def test_pairing_across_weeks(ntz):
     assert (str(row.joined_at), str(row.left_at)) == ("2026-01-01 10:00:00", "2026-02-20 10:00:00")
 
 
+def test_other_kinds_are_ignored_and_rows_stay_single(ntz):
+    df = events(ntz, ("u", "A", "join", "10:00"), ("u", "A", "mute", "10:10"), ("u", "A", None, "10:20"), ("u", "A", "leave", "11:00"))
+    assert shown(sessionize_batch(df)) == [("u", "A", "10:00", "11:00")]
+
+
+def test_one_member_with_most_events(ntz, spark):
+    rows = spark.range(4000).selectExpr(
+        "'1' AS guild_id", "IF(id % 4 = 0, string(id % 50), 'hot') AS user_id", "string(id % 3) AS channel_id",
+        "IF(hash(id) % 5 IN (0, 1, -1), 'leave', 'join') AS kind", "timestampadd(MINUTE, id * 37, TIMESTAMP_NTZ'2026-01-01 00:00:00') AS ts",
+    )
+    pending, want = {}, []
+    for e in rows.orderBy("ts").collect():
+        held = pending.get(e.user_id)
+        if e.kind == "leave":
+            want.append((e.user_id, *(held or (e.channel_id, None)), e.ts))
+            pending.pop(e.user_id, None)
+        elif held is None or held[0] != e.channel_id:
+            pending[e.user_id] = (e.channel_id, e.ts)
+    got = [(r.user_id, r.channel_id, r.joined_at, r.left_at) for r in sessionize_batch(rows).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_unknown_move_rule(ntz):
     with pytest.raises(ValueError):
         sessionize_batch(events(ntz, ("u", "A", "join", "10:00")), "keep")

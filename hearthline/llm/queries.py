@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthline.llm.common import new_path, table
+from hearthline.llm.piece_codec import encode_decode
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.quality_sql import OP8
 from hearthline.llm.sharding import histogram_shards
@@ -47,3 +48,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents through a digest cache that begins empty, in the shared folder."""
     counts = token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), new_path(spark, "token-cache"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))

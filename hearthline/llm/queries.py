@@ -11,6 +11,7 @@ from hearthline.llm.piece_codec import encode_decode
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.quality_sql import OP8
 from hearthline.llm.sharding import histogram_shards
+from hearthline.llm.simhash import near_duplicates
 from hearthline.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents whose 3-word fingerprints link at 3 or fewer differing bits."""
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, words64=1, radius=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes, by histogram sort on the text hash."""

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -26,19 +28,59 @@ def version_digest(path: str) -> str:
         return hashlib.sha256(f.read() + tokenizers.__version__.encode()).hexdigest()
 
 
+#: Distinct pre-tokens whose counts a task keeps; beyond that it starts anew.
+KEPT = 300_000
+#: Fixed pattern of byte-level BPE: how it parts a text before any merge.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters on whose class all pattern engines agree; texts with others go to the tokenizer whole.
+PLAIN = r"[\t\n\r\x20-\x7e\u00a1-\u024f\u0400-\u045f]*"
+
+
+class Counter:
+    """Counts by the tokenizers library. Merges never cross pre-tokens, so each distinct one of plain texts is encoded once
+    and its count kept; texts with a special token's string or with other characters are encoded whole."""
+
+    def __init__(self, path: str):
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        byte_level = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tokenizer.normalizer is None
+        self.parted = byte_level and not self.tokenizer.pre_tokenizer.add_prefix_space
+        self.part, self.plain = regex.compile(PATTERN).findall, re.compile(PLAIN).fullmatch
+        self.kept: dict[str, int] = {}
+
+    def whole(self, texts: list[str]) -> list[int]:
+        return [len(x) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        plain = [self.parted and bool(self.plain(t)) and not any(s in t for s in self.special) for t in texts]
+        parts = [self.part(t) if ok else [] for t, ok in zip(texts, plain)]
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        new = list({p for ps in parts for p in ps if p not in self.kept})
+        self.kept.update(zip(new, self.whole(new)))
+        rest = iter(self.whole([t for t, ok in zip(texts, plain) if not ok]))
+        return [sum(map(self.kept.__getitem__, ps)) if ok else next(rest) for ps, ok in zip(parts, plain)]
+
+
+@lru_cache(2)
+def counter_of(path: str) -> Counter:
+    """One for all tasks of a Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Counter(path)
+
+
 def encode_counts(rows: DataFrame, path: str) -> DataFrame:
     """digest and n_tokens of every row (digest, text), by the tokenizers library in Arrow batches."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        counter = counter_of(path)
         for batch, texts in pieces(batches, "text", 1 << 20):
-            found = tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
-            counts = pa.array([len(x) for x in found], pa.int64())
+            counts = pa.array(counter.counts(texts.to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("digest"), counts], ["digest", "n_tokens"])
 
     return rows.select("digest", "text").mapInArrow(count, "digest string, n_tokens long")

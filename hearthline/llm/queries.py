@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthline.llm.common import new_path, table
+from hearthline.llm.decontaminate import contaminated
 from hearthline.llm.piece_codec import encode_decode
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.quality_sql import OP8
@@ -29,6 +30,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a document that copies a benchmark item, whole or edited."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contaminated(docs, items, ["doc_id"]).withColumnRenamed("item", "item_id")
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents whose 3-word fingerprints link at 3 or fewer differing bits."""

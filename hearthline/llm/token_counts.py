@@ -90,8 +90,7 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every row. ``cache`` is a Parquet folder that all executors share; counts that it lacks
     are appended to it. The driver writes, so a lost executor leaves no half batch behind.
 
-    Of the rows with one missing digest, the one with the smallest place is encoded; places, not texts, are compared, so a
-    group of copies is reduced before anything is exchanged.
+    Rows of one digest are reduced to one in every partition before they are exchanged, so a group of copies stays small.
     """
     spark = docs.sparkSession
     version = version_digest(path)
@@ -103,8 +102,6 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
     known = lambda: (
         spark.read.schema(CACHE).parquet(cache).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     )
-    misses = keyed.select("digest", "text", F.monotonically_increasing_id().alias("place"))
-    first = misses.groupBy("digest").agg(F.min("place").alias("place")).join(known().select("digest"), "digest", "left_anti")
-    texts = misses.join(first, ["digest", "place"], "left_semi")
+    texts = keyed.select("digest", "text").dropDuplicates(["digest"]).join(known().select("digest"), "digest", "left_anti")
     encode_counts(texts, path).select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
     return keyed.select("doc_id", "n_bytes", "digest").join(known(), "digest").select("doc_id", "n_bytes", "n_tokens")

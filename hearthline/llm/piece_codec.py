@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ from hearthline.llm.common import pieces
 
 MARK = "▁"
 #: Distinct words whose ids a task keeps; beyond that it starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 800_000
 #: The longest word that is kept.
 KEPT_CHARS = 64
 
@@ -50,9 +51,18 @@ class PieceCodec:
         assert len({self.score[MARK * n] for n in runs if n > 1}) < 2 and all(self.score[MARK * n] < self.score[p] for n in runs if n > 1 for p in others if len(p) > 1)
         self.longest = max(runs)
         self.runs = [self._run(n) for n in range(self.longest + 1)]
-        # a line end that no piece holds parts words, too
+        # a line end that no piece holds parts words, and so does a sign that no piece holds after anything but signs and marks
         line = "\n" if not any("\n" in p for p in self.ids) else ""
-        self.words = re.compile(f"{MARK}+[^{MARK}{line}]*|[^{MARK}{line}]+" + "|\n+" * bool(line))
+        signs, letters = set(string.punctuation), set()
+        pairs = {(x, y) for p in self.ids for x, y in zip(p, p[1:]) if x != MARK}
+        while odd := next(((x, y) for x, y in pairs if y in signs and x not in signs), None):
+            if odd[0].isalpha() or odd[0] in letters:
+                signs.discard(odd[1])
+                letters.add(odd[1])
+            else:
+                signs.add(odd[0])
+        sign, other = f"[{re.escape(''.join(sorted(signs)))}]", f"[^{MARK}{line}{re.escape(''.join(sorted(signs)))}]"
+        self.words = re.compile(f"{MARK}+{sign}*{other}*|{sign}+{other}*|{other}+" + "|\n+" * bool(line))
         #: The two pieces whose merge makes a piece, for pieces that merges reach.
         self.whole = {p: pair for p in self.ids if len(p) > 1 and (pair := self._whole(p))}
         self.automaton = ahocorasick.Automaton()
@@ -61,7 +71,7 @@ class PieceCodec:
                 self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
         self.fits = lru_cache(1 << 21)(self._fits)
-        self.kept: dict[str, tuple[str, int, list[int]]] = {}
+        self.kept: dict[str, str] = {}
 
     def _run(self, n: int) -> list[int]:
         """The ids of n marks: their merges have one score, so the leftmost goes first."""
@@ -132,27 +142,31 @@ class PieceCodec:
     def marked(self, text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
 
-    def parts(self, text: str) -> Iterator[tuple[str, int, list[int]]]:
-        """Decimal ids, their number and the ids of each word of a text."""
-        kept = self.kept
+    def parts(self, text: str) -> list[str]:
+        """The ids of each word of a text, in decimals with commas."""
+        kept, out = self.kept, []
         for word in self.words.findall(self.marked(text)):
             found = kept.get(word)
             if found is None:
-                ids = self.encode_word(word)
-                found = (",".join(map(str, ids)), len(ids), ids)
+                found = ",".join(map(str, self.encode_word(word)))
                 if len(word) <= KEPT_CHARS:
                     if len(kept) >= KEPT_WORDS:
                         kept.clear()
                     kept[word] = found
-            yield found
+            out.append(found)
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return [i for _, _, ids in self.parts(text) for i in ids]
+        return numbers(",".join(self.parts(text)))
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
 
 
+def numbers(written: str) -> list[int]:
+    return list(map(int, written.split(","))) if written else []
+
+
 @lru_cache(2)
 def codec_of(path: str) -> PieceCodec:
     """One codec for all tasks of a Python worker."""
@@ -168,10 +182,10 @@ def encode_decode(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFra
         for batch, texts in pieces(batches, "text", 1 << 20):
             rows = []
             for text in texts.to_pylist():
-                found = list(codec.parts(text))
-                ids = [i for _, _, x in found for i in x]
+                written = ",".join(codec.parts(text))
+                ids = numbers(written)
                 decoded = codec.decode(ids)
-                row = (len(ids), sha(",".join([x for x, _, _ in found])), sha(decoded))
+                row = (len(ids), sha(written), sha(decoded))
                 rows.append((*row, ids, decoded) if keep_ids else row)
             kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]

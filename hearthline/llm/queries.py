@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hearthline.llm import language_model
 from hearthline.llm.common import new_path, table
 from hearthline.llm.decontaminate import contaminated
 from hearthline.llm.piece_codec import encode_decode
@@ -14,6 +15,7 @@ from hearthline.llm.quality_sql import OP8
 from hearthline.llm.sharding import histogram_shards
 from hearthline.llm.simhash import near_duplicates
 from hearthline.llm.token_counts import token_counts
+from hearthline.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op8_quality_rules": OP8}
@@ -44,6 +46,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes, by histogram sort on the text hash."""

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hearthline.llm import language_model
 from hearthline.llm.common import new_path, table
 from hearthline.llm.decontaminate import contaminated
+from hearthline.llm.line_dedup import line_dedup
+from hearthline.llm.line_sql import OP5
 from hearthline.llm.piece_codec import encode_decode
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.quality_sql import OP8
@@ -18,7 +20,7 @@ from hearthline.llm.token_counts import token_counts
 from hearthline.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op8_quality_rules": OP8}
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5, "op8_quality_rules": OP8}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -56,6 +58,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses when only the first of equal or linked lines stays, and a digest of what is left."""
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", "n_links", F.sha2("cleaned", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes, by histogram sort on the text hash."""

@@ -16,6 +16,7 @@ from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.quality_sql import OP8
 from hearthline.llm.sharding import histogram_shards
 from hearthline.llm.simhash import near_duplicates
+from hearthline.llm.suffix_dedup import suffix_dedup
 from hearthline.llm.token_counts import token_counts
 from hearthline.llm.toxicity import toxicity
 
@@ -66,6 +67,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents under 400-byte strings that also begin elsewhere, removed."""
+    return suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes, by histogram sort on the text hash."""

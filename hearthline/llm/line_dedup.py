@@ -20,7 +20,7 @@ THRESHOLD = 2
 MIN_CHARS = 40
 #: Lines with candidates up to which their keys are broadcast to fetch their texts (16 bytes each); beyond, they are joined.
 MOST_LINES = 500_000
-LETTERS = "abcdefghijklmnopqrstuvwxyz .,"
+LETTERS = "etaoinsrhldu"
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -33,34 +33,41 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def _segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: Column, threshold: int) -> tuple[Column, Column]:
     """Begin (from 0) and length of segment i of a line: the later ones take the remainder."""
     parts = threshold + 1
     size, more = F.floor(length / parts).cast("int"), length % parts
     return size * i + F.greatest(F.lit(0), more - parts + i), size + (more >= parts - i).cast("int")
 
 
-def _key(line: Column, length: Column, i: int, shift: int, threshold: int) -> Column:
+def _key(line: Column, length: Column, i: Column, shift: Column, threshold: int) -> Column:
     """The hash of what stands where a line of ``length`` characters would have its segment i, moved by ``shift``."""
     begin, size = _segment(length, i, threshold)
-    return F.xxhash64(F.lit(i), length, F.substring(line, begin + shift + 1, size))
+    return F.xxhash64(i, length, F.substring(line, begin + shift + 1, size))
 
 
-def _probes(line: Column, length: Column, threshold: int) -> Column:
-    """Keys of all substrings that can equal a segment of a line up to ``threshold`` characters shorter, and that difference.
-    Segment i can be moved by i edits before it at most, and by what the difference and the edits behind it leave."""
-    keys = []
-    for less in range(threshold + 1):
-        for i in range(threshold + 1):
-            for shift in range(max(-i, less - (threshold - i)), min(i, less + threshold - i) + 1):
-                keys.append(F.struct(_key(line, length - less, i, shift, threshold).alias("key"), F.lit(less).alias("less")))
-    return F.array(*keys)
+def _moves(threshold: int) -> list[tuple[int, int, int]]:
+    """(less, i, shift) of all substrings that can equal segment i of a line shorter by ``less``. Segment i can be moved by i
+    edits before it at most, and by what the difference and the edits behind it leave."""
+    return [
+        (less, i, shift)
+        for less in range(threshold + 1)
+        for i in range(threshold + 1)
+        for shift in range(max(-i, less - (threshold - i)), min(i, less + threshold - i) + 1)
+    ]
 
 
-def _parities(line: Column) -> Column:
-    """A bit for each letter: whether it occurs an odd number of times. One edit changes two bits at most."""
-    bits = [F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(1)), k) for k, c in enumerate(LETTERS)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def _tally(line: Column) -> Column:
+    """The counts of the commonest letters, each modulo 32, in one number."""
+    counts = [F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long").bitwiseAND(F.lit(31)), 5 * k) for k, c in enumerate(LETTERS)]
+    return reduce(lambda a, b: a.bitwiseOR(b), counts)
+
+
+def _tallies_apart(x: Column, y: Column) -> Column:
+    """A lower bound of twice the edits between two lines: one edit changes two counts by one at most."""
+    each = lambda v, k: F.shiftright(v, 5 * k).bitwiseAND(F.lit(31))
+    apart = [F.abs(each(x, k) - each(y, k)) for k in range(len(LETTERS))]
+    return reduce(lambda a, b: a + b, [F.least(d, 32 - d) for d in apart])
 
 
 def within(a: str, b: str, threshold: int = THRESHOLD) -> Column:
@@ -92,14 +99,15 @@ def within(a: str, b: str, threshold: int = THRESHOLD) -> Column:
 
 
 def links(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """a and b (ids) of all pairs of distinct lines (id, line) within the threshold."""
-    length = F.length("line").alias("length")
-    known = lines.select("id", "line", length, _parities(F.col("line")).alias("odd"))
-    index = known.select(
-        F.explode(F.array(*[_key(F.col("line"), F.col("length"), i, 0, threshold) for i in range(threshold + 1)])).alias("key"), F.col("id").alias("a"), F.col("odd").alias("odd_a")
-    )
-    probe = known.select(F.explode(_probes(F.col("line"), F.col("length"), threshold)).alias("p"), F.col("id").alias("b"), F.col("odd").alias("odd_b")).select("p.*", "b", "odd_b")
-    close = (F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd_b"))) <= 2 * threshold) & ((F.col("less") > 0) | (F.col("a") < F.col("b")))
+    """a and b (ids) of all pairs of distinct lines (id, line, tally) within the threshold."""
+    moves = [F.struct(*(F.lit(x).alias(n) for x, n in zip(m, ("less", "i", "shift")))) for m in _moves(threshold)]
+    columns = F.length("line").alias("length"), "line", "tally"
+    # a row for each segment or move first, then one small expression for the key
+    segments = lines.select(F.col("id").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(threshold))).alias("i"), *columns)
+    index = segments.select(_key(F.col("line"), F.col("length"), F.col("i"), F.lit(0), threshold).alias("key"), "a", F.col("tally").alias("tally_a"))
+    moved = lines.select(F.col("id").alias("b"), F.explode(F.array(*moves)).alias("m"), *columns).select("b", "m.*", "length", "line", "tally")
+    probe = moved.select(_key(F.col("line"), F.col("length") - F.col("less"), F.col("i"), F.col("shift"), threshold).alias("key"), "b", "less", F.col("tally").alias("tally_b"))
+    close = (_tallies_apart(F.col("tally_a"), F.col("tally_b")) <= 2 * threshold) & ((F.col("less") > 0) | (F.col("a") < F.col("b")))
     pairs = stage(index.join(probe, "key").filter(close & (F.col("a") != F.col("b"))).select("a", "b").distinct(), "line-pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     ids = F.broadcast(ids) if small_enough(ids, MOST_LINES) else ids
@@ -115,8 +123,8 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     without the removed lines."""
     lines = _lines(docs, min_chars)
     distinct = lines.groupBy("line").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    distinct = stage(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
-    edges = stage(links(distinct.select("id", "line"), threshold), "line-links")
+    distinct = stage(distinct.withColumns({"id": F.monotonically_increasing_id(), "tally": _tally(F.col("line"))}), "lines")
+    edges = stage(links(distinct.select("id", "line", "tally"), threshold), "line-links")
     ways = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     around = ways.join(distinct.select(F.col("id").alias("b"), "first"), "b").groupBy("a").agg(F.min("first").alias("near"), F.count("*").alias("links"))
     marked = distinct.join(around.withColumnRenamed("a", "id"), "id", "left").filter("n > 1 OR links > 0").select(

@@ -21,28 +21,17 @@ def hours(seconds: str | Column) -> Column:
 def activity_by_category_daily(message_fact: DataFrame, voice_fact: DataFrame, guild: DataFrame, category: DataFrame) -> DataFrame:
     """Straight from silver: voice counts on the day it began, without cap or split, negatives as 0. Its
     totals therefore differ from activity_daily. Names are joined after the first aggregation by id."""
-    keys = ["activity_date", "guild_id", "category_id"]
-    messages = (
-        message_fact.withColumnRenamed("message_date", "activity_date")
-        .groupBy(*keys)
-        .agg(F.count("*").alias("message_count"))
-        .withColumn("voice_duration_seconds", F.lit(0.0))
-    )
-    length = epoch_seconds(F.col("left_at")) - epoch_seconds(F.col("joined_at"))
-    voice = (
-        voice_fact.filter(F.col("left_at").isNotNull())
-        .withColumnRenamed("session_date", "activity_date")
-        .groupBy(*keys)
-        .agg(F.sum(F.greatest(length, F.lit(0)).cast("double")).alias("voice_duration_seconds"))
-        .withColumn("message_count", F.lit(0).cast("bigint"))
-    )
-    return (
-        messages.unionByName(voice)
-        .join(guild.select("guild_id", "guild_name"), "guild_id", "left")
-        .join(category.select("category_id", "category_name"), "category_id", "left")
-        .groupBy("activity_date", "guild_name", "category_name")
-        .agg(F.sum("message_count").alias("message_count"), F.sum("voice_duration_seconds").alias("voice_duration_seconds"))
-        .withColumn("voice_duration_hours", hours("voice_duration_seconds"))
+    day = "activity_date"
+    length = F.greatest(epoch_seconds(F.col("left_at")) - epoch_seconds(F.col("joined_at")), F.lit(0)).cast("double")
+    written = message_fact.select(F.col("message_date").alias(day), "guild_id", "category_id", F.lit(1).alias("messages"))
+    spoken = voice_fact.filter(F.col("left_at").isNotNull()).select(F.col("session_date").alias(day), "guild_id", "category_id", length.alias("seconds"))
+    sums = [F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds")]
+    facts = written.unionByName(spoken, allowMissingColumns=True).groupBy(day, "guild_id", "category_id").agg(*sums)
+    for names in (guild, category):
+        facts = facts.join(names.select(names.columns[0], f"{names.columns[0][:-3]}_name"), names.columns[0], "left")
+    return facts.groupBy(day, "guild_name", "category_name").agg(*sums).select(
+        day, "guild_name", "category_name", F.col("messages").alias("message_count"),
+        F.col("seconds").alias("voice_duration_seconds"), hours("seconds").alias("voice_duration_hours"),
     )
 
 

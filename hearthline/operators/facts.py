@@ -16,34 +16,48 @@ def _ids(*names: str) -> list[Column]:
     return [safe_bigint(n).alias(n) for n in names]
 
 
+def _latest(typed: DataFrame, key: str, stamp: str, as_of_ts: str | datetime, day: str, tz: str) -> DataFrame:
+    """The copy of each key with the latest readable time (unreadable ones come last), then the run time where there is none."""
+    unique = first_per_key(typed.filter(F.col(key).isNotNull()), [key], [F.desc_nulls_last(stamp)])
+    return unique.withColumn(stamp, ts_or(stamp, as_of_ts)).withColumn(day, local_date(F.col(stamp), tz))
+
+
 def message_fact(messages: DataFrame, as_of_ts: str | datetime, tz: str = DEFAULT_TZ) -> DataFrame:
-    """One row per message id: typed ids, defaults, and the local date of the message."""
-    typed = messages.filter(F.col("message_id").isNotNull()).select(
+    """One row per readable message id: typed ids, defaults, and the local date of the message. Rows whose id cannot be read
+    are in ``rejected``."""
+    typed = messages.select(
         *_ids("message_id", "channel_id", "guild_id", "user_id", "category_id"),
         F.col("content").cast("string").alias("content"),
-        ts_or("timestamp", as_of_ts).alias("timestamp"),
+        safe_timestamp("timestamp").alias("timestamp"),
         or_default("attachment_count", "int", 0).alias("attachment_count"),
         or_default("reaction_count", "int", 0).alias("reaction_count"),
         or_default("is_pinned", "boolean", False).alias("is_pinned"),
     )
-    dated = typed.withColumn("message_date", local_date(F.col("timestamp"), tz))
-    return first_per_key(dated, ["message_id"], [F.desc("timestamp")])
+    return _latest(typed, "message_id", "timestamp", as_of_ts, "message_date", tz)
 
 
 def voice_chat_fact(voice: DataFrame, as_of_ts: str | datetime, tz: str = DEFAULT_TZ, id: str = "xxhash64") -> DataFrame:
     """One row per session. Rows are deduplicated on the text id and hashed afterwards, so that two
     sessions whose hashes collide are not merged; ``id="raw"`` keeps the text."""
-    typed = voice.filter(F.col("session_id").isNotNull()).select(
+    typed = voice.select(
         F.col("session_id").cast("string").alias("session_id"),
         *_ids("channel_id", "guild_id", "user_id", "category_id"),
-        ts_or("joined_at", as_of_ts).alias("joined_at"),
+        safe_timestamp("joined_at").alias("joined_at"),
         safe_timestamp("left_at").alias("left_at"),
     )
-    dated = typed.withColumn("session_date", local_date(F.col("joined_at"), tz))
-    unique = first_per_key(dated, ["session_id"], [F.desc("joined_at")])
+    unique = _latest(typed, "session_id", "joined_at", as_of_ts, "session_date", tz)
     return unique if id == "raw" else unique.withColumn("session_id", F.xxhash64("session_id"))
 
 
+def rejected(raw: DataFrame, key: str, text_id: bool = False) -> DataFrame:
+    """The raw rows that a fact or dimension leaves out for its key, with ``quarantine_reason``: every row of the input is in
+    the one or the other, or is an older copy of a key."""
+    missing = F.col(key).isNull()
+    unreadable = F.lit(False) if text_id else safe_bigint(F.col(key).cast("string")).isNull()
+    reason = F.when(missing, F.lit(f"Missing_{key}")).when(unreadable, F.lit(f"Invalid_{key}"))
+    return raw.withColumn("quarantine_reason", reason).filter(F.col("quarantine_reason").isNotNull())
+
+
 def transfer(
     df: DataFrame,
     columns: Sequence[str] | None = None,

@@ -29,9 +29,16 @@ def with_duration(df: DataFrame, start: str = "joined_at", end: str = "left_at",
     return df.withColumn(out, (epoch_seconds(F.col(end)) - epoch_seconds(F.col(start))).cast("double"))
 
 
-def closed_sessions(voice: DataFrame) -> DataFrame:
-    """Valid sessions of known guilds, capped: the common input of every voice aggregate."""
-    return cap_sessions(valid_sessions(voice).filter(F.col("guild_id").isNotNull()))
+def closed_sessions(voice: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> DataFrame:
+    """Valid sessions of known guilds, capped: the common input of every voice aggregate. ``cut_seconds`` says what the cap
+    takes away."""
+    return cap_sessions(valid_sessions(voice).filter(F.col("guild_id").isNotNull()), max_hours)
+
+
+def cut_seconds(voice: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> DataFrame:
+    """One row: how many closed sessions the cap cuts, and how many seconds of them."""
+    over = with_duration(valid_sessions(voice).filter(F.col("guild_id").isNotNull())).filter(F.col("duration_seconds") > max_hours * 3600)
+    return over.agg(F.count("*").alias("cut_sessions"), F.coalesce(F.sum(F.col("duration_seconds") - max_hours * 3600), F.lit(0.0)).alias("cut_seconds"))
 
 
 def prorate(df: DataFrame, start: str = "joined_at", end: str = "left_at", unit: str = "hour", tz: str = DEFAULT_TZ) -> DataFrame:

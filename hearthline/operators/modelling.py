@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -12,17 +13,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def fit_classifier(features: DataFrame, label: str, columns: Sequence[str], kind: str = "logistic", **params: object) -> PipelineModel:
-    """Logistic regression or gradient-boosted trees over numeric columns; rows with NULL are skipped."""
+    """Logistic regression or gradient-boosted trees over numeric columns. Rows with a null feature or label teach nothing;
+    the model scores them as NULL."""
     makers = {"logistic": LogisticRegression, "gbt": GBTClassifier}
     estimator = makers[kind](featuresCol="features", labelCol="label", **params)
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="skip")
-    data = features.select(*columns, F.col(label).cast("double").alias("label"))
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="keep")
+    data = features.select(*columns, F.col(label).cast("double").alias("label")).dropna()
     return Pipeline(stages=[assembler, estimator]).fit(data)
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
-    """Probability of class 1 as a plain column."""
-    scored = model.transform(df).withColumn(out, vector_to_array("probability")[1])
+    """Every row with the probability of class 1 as a plain column, NULL where a feature is null."""
+    columns = model.stages[0].getInputCols()
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    scored = model.transform(df).withColumn(out, F.when(whole, vector_to_array("probability")[1]))
     return scored.drop("features", "rawPrediction", "probability", "prediction")
 
 

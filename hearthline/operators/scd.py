@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hearthline.functions.casts import ntz_lit
+from hearthline.operators.dedupe import first_per_key
 
 HISTORY = ["valid_from", "valid_to", "is_current"]
 
@@ -82,6 +83,12 @@ def scd_diff(incoming: DataFrame, current: DataFrame, keys: Sequence[str], track
     return _paired(incoming, current, keys, track, keep=False).groupBy(status.alias("status")).agg(F.count("*").alias("row_count"))
 
 
+def keyless(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Incoming rows that a merge leaves out, with ``quarantine_reason``."""
+    reasons = [F.when(F.col(k).isNull(), F.lit(f"Missing_{k}")) for k in keys]
+    return incoming.withColumn("quarantine_reason", F.coalesce(*reasons)).filter(F.col("quarantine_reason").isNotNull())
+
+
 def scd2_merge(
     incoming: DataFrame,
     existing: DataFrame | None,
@@ -90,13 +97,18 @@ def scd2_merge(
     track: Sequence[str] | None = None,
 ) -> DataFrame:
     """History after the load: closed rows stay, changed keys are closed and reopened, new keys open, unchanged
-    and missing keys stay current. ``track`` limits change detection to some columns. Incoming keys are unique.
+    and missing keys stay current. ``track`` limits change detection to some columns.
+
+    Incoming rows with a null in a key belong to no member and are left out (``keyless`` returns them); of several rows of one
+    key the one with the greatest hash counts, so a load gives the same history whenever it is repeated. Rows of the history
+    whose ``is_current`` is null stay as they are.
 
     A single full join of the incoming and the current rows decides every case, and each pair unfolds into
     one or two output rows; history that is already closed never enters the join.
     """
     at = ntz_lit(as_of_ts)
     data = _data_columns(incoming)
+    incoming = first_per_key(incoming.dropna(subset=list(keys)), keys, [F.desc(row_hash(incoming))])
     first = {"valid_from": at, "valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(1)}
     if existing is None:
         return incoming.withColumns(first)
@@ -123,4 +135,4 @@ def scd2_merge(
         .when(F.col("new").isNull() | (F.col("new_hash") == F.col("old_hash")), F.array(kept))
         .otherwise(F.array(closed, opened))
     )
-    return existing.filter(F.col("is_current") == 0).unionByName(pairs.select(F.inline(outcome)))
+    return existing.filter(~F.coalesce(F.col("is_current") == 1, F.lit(False))).unionByName(pairs.select(F.inline(outcome)))

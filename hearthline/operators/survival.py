@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -48,22 +49,24 @@ def survival_probs(
     duration: str = "duration_days",
     event: str = "event_lost",
 ) -> DataFrame:
-    """Columns ``survival_prob_<t>d`` on ``score`` from a Weibull regression on the rows with a positive
-    duration; 1 everywhere if the fit fails."""
+    """Every row of ``score`` with columns ``survival_prob_<t>d`` from a Weibull regression on the rows with a positive duration
+    and no null, and ``survival_fitted``. Rows with a null feature get NULL; without such rows or without an event there is
+    nothing to fit: survival is 1 and ``survival_fitted`` false. Any other failure of the fit is an error."""
     names = [f"survival_prob_{t}d" for t in times]
     usable = train.filter(F.col(duration) > 0).select(
         *features, F.col(duration).cast("double").alias("label"), F.col(event).cast("double").alias("censor")
-    )
-    stages = [VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip"),
+    ).dropna()
+    events = usable.agg(F.coalesce(F.sum("censor"), F.lit(0.0))).first()[0]
+    if not events:
+        return score.withColumns({n: F.lit(1.0) for n in names} | {"survival_fitted": F.lit(False)})
+    stages = [VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep"),
               AFTSurvivalRegression(featuresCol="_features", labelCol="label", censorCol="censor", predictionCol="_scale")]
-    try:
-        model = Pipeline(stages=stages).fit(usable)
-    except Exception:  # a fit that does not converge must not stop the scoring run
-        return score.withColumns({n: F.lit(1.0) for n in names})
+    model = Pipeline(stages=stages).fit(usable)
     shape = 1.0 / model.stages[-1].scale
-    fitted = model.transform(score)
-    survive = lambda t: F.exp(-F.pow(F.lit(float(t)) / F.col("_scale"), F.lit(shape)))
-    return fitted.withColumns({n: survive(t) for n, t in zip(names, times)}).drop("_features", "_scale")
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in features])
+    survive = lambda t: F.when(whole, F.exp(-F.pow(F.lit(float(t)) / F.col("_scale"), F.lit(shape))))
+    fitted = model.transform(score).withColumns({n: survive(t) for n, t in zip(names, times)} | {"survival_fitted": F.lit(True)})
+    return fitted.drop("_features", "_scale")
 
 
 def variance_report(df: DataFrame, columns: Sequence[str], event: str = "event_lost", minimum: float = 1e-6) -> DataFrame:

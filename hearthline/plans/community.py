@@ -209,6 +209,35 @@ def _(c: Inputs) -> DataFrame:
     return c.voice_fact
 
 
+@query("b5_message_fact_dirty", """SELECT TRY_CAST(message_id AS BIGINT) AS message_id, user_name, content, coalesce(attachment_count, 0) AS attachment_count,
+  coalesce(event_ts, TIMESTAMP '2024-02-01 00:00:00') AS "timestamp" FROM dirty_messages WHERE TRY_CAST(message_id AS BIGINT) IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY TRY_CAST(message_id AS BIGINT) ORDER BY event_ts DESC NULLS LAST) = 1""".replace("user_name, ", ""), ints="attachment_count")
+def _(c: Inputs) -> DataFrame:
+    """Unreadable ids go to quarantine, and a copy with an unreadable time never replaces a good one."""
+    return facts.message_fact(c.dirty_messages, AS_OF_TS, TZ).select("message_id", "content", "attachment_count", "timestamp")
+
+
+@query("b5_rejected", """SELECT message_id, content, CASE WHEN message_id IS NULL THEN 'Missing_message_id' ELSE 'Invalid_message_id' END AS quarantine_reason
+  FROM dirty_messages WHERE TRY_CAST(message_id AS BIGINT) IS NULL""")
+def _(c: Inputs) -> DataFrame:
+    return facts.rejected(c.dirty_messages, "message_id").select("message_id", "content", "quarantine_reason")
+
+
+@query("b3_channel_dim_dirty", """SELECT TRY_CAST(channel_id AS BIGINT) AS channel_id, max(CAST(guild_id AS BIGINT)) AS guild_id, max(channel_type) AS channel_type,
+  max(channel_name) AS channel_name, max(category_id) AS category_id
+  FROM (SELECT * REPLACE (CASE WHEN channel_name LIKE '%7' THEN 'bad-' || channel_id ELSE channel_id END AS channel_id) FROM fx_channels)
+  WHERE channel_type <> 4 AND TRY_CAST(channel_id AS BIGINT) IS NOT NULL GROUP BY 1""", ints="channel_type")
+def _(c: Inputs) -> DataFrame:
+    bad = F.when(F.col("channel_name").like("%7"), F.concat(F.lit("bad-"), "channel_id")).otherwise(F.col("channel_id"))
+    return dims.channel_dim(c.channels.withColumn("channel_id", bad))
+
+
+@query("f12_cut_seconds", """SELECT count(*) AS cut_sessions, coalesce(sum(datediff('second', joined_at, left_at) - 86400), 0) AS cut_seconds
+  FROM silver_voice WHERE left_at >= joined_at AND guild_id IS NOT NULL AND datediff('second', joined_at, left_at) > 86400""", floats="cut_seconds")
+def _(c: Inputs) -> DataFrame:
+    return intervals.cut_seconds(c.voice_fact)
+
+
 @query("b6_voice_chat_fact_hashed")
 def _(c: Inputs) -> DataFrame:
     return facts.voice_chat_fact(c.voice, AS_OF_TS, TZ)
@@ -715,10 +744,10 @@ def _history(c: Inputs) -> DataFrame:
     return scd.scd2_merge(rows, None, ["c_custkey"], V1)
 
 
-@query("h1_row_hash")
+@query("h1_row_hash", """SELECT c_custkey, sha256(to_json({'c_mktsegment': c_mktsegment, 'c_name': c_name, 'c_nationkey': c_nationkey})) AS row_hash FROM customer""")
 def _(c: Inputs) -> DataFrame:
     customers = c.table("customer")
-    return customers.select("c_custkey", scd.row_hash(customers, exclude=["c_custkey"]).alias("row_hash"))
+    return customers.select("c_custkey", scd.row_hash(customers, exclude=["c_custkey", "c_acctbal"]).alias("row_hash"))
 
 
 HIST_COLS = f"c_custkey, c_name, c_acctbal, valid_from, valid_to, is_current"

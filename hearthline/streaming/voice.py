@@ -78,7 +78,11 @@ STATE = "channel_id string, joined_at timestamp"
 def _advance(on_move: str, timeout_ms: int):
     def step(key: tuple[str, str], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
+            channel, joined = state.get
             state.remove()
+            yield pd.DataFrame({
+                "guild_id": [key[0]], "user_id": [key[1]], "channel_id": [channel], "joined_at": [pd.Timestamp(joined)], "left_at": [pd.NaT],
+            })
             return
         pending = state.get if state.exists else None
         rows = []
@@ -112,9 +116,9 @@ def _advance(on_move: str, timeout_ms: int):
 
 
 def sessionize_voice(events: DataFrame, on_move: str = "drop", timeout_hours: int = 24, delay: str = "10 minutes") -> DataFrame:
-    """Streaming twin: the pending join of each member lives in the checkpointed state store and is given up
-    after ``timeout_hours`` of event time, so a leave that comes later counts as one without join (the batch plan
-    has no such limit). Events arrive in time order between micro-batches; inside one, each
+    """Streaming twin: the pending join of each member lives in the checkpointed state store and comes out as an open session
+    (``left_at`` NULL) after ``timeout_hours`` of event time; a leave that comes later counts as one without join (the batch
+    plan has no such limit). Events later than ``delay`` behind the watermark are dropped by the engine. Events arrive in time order between micro-batches; inside one, each
     member's events are sorted in memory, so the source's rate limit (``maxFilesPerTrigger`` and the like)
     bounds what a task holds."""
     if on_move not in ("drop", "split"):

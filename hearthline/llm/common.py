@@ -36,7 +36,7 @@ def new_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """The same rows, written once to the shared folder and read back: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,7 @@ THRESHOLD = 2
 MIN_CHARS = 40
 #: Lines with candidates up to which their keys are broadcast to fetch their texts (16 bytes each); beyond, they are joined.
 MOST_LINES = 500_000
-LETTERS = "etaoinsrhldu"
+LETTERS = "etaoinsrhldumc"
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -58,16 +58,16 @@ def _moves(threshold: int) -> list[tuple[int, int, int]]:
 
 
 def _tally(line: Column) -> Column:
-    """The counts of the commonest letters, each modulo 32, in one number."""
-    counts = [F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long").bitwiseAND(F.lit(31)), 5 * k) for k, c in enumerate(LETTERS)]
+    """The counts of the commonest letters, each modulo 4, in one small number."""
+    counts = [F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(3)), 2 * k) for k, c in enumerate(LETTERS)]
     return reduce(lambda a, b: a.bitwiseOR(b), counts)
 
 
 def _tallies_apart(x: Column, y: Column) -> Column:
     """A lower bound of twice the edits between two lines: one edit changes two counts by one at most."""
-    each = lambda v, k: F.shiftright(v, 5 * k).bitwiseAND(F.lit(31))
+    each = lambda v, k: F.shiftright(v, 2 * k).bitwiseAND(F.lit(3))
     apart = [F.abs(each(x, k) - each(y, k)) for k in range(len(LETTERS))]
-    return reduce(lambda a, b: a + b, [F.least(d, 32 - d) for d in apart])
+    return reduce(lambda a, b: a + b, [F.least(d, 4 - d) for d in apart])
 
 
 def within(a: str, b: str, threshold: int = THRESHOLD) -> Column:
@@ -106,8 +106,11 @@ def links(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     segments = lines.select(F.col("id").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(threshold))).alias("i"), *columns)
     index = segments.select(_key(F.col("line"), F.col("length"), F.col("i"), F.lit(0), threshold).alias("key"), "a", F.col("tally").alias("tally_a"))
     moved = lines.select(F.col("id").alias("b"), F.explode(F.array(*moves)).alias("m"), *columns).select("b", "m.*", "length", "line", "tally")
-    probe = moved.select(_key(F.col("line"), F.col("length") - F.col("less"), F.col("i"), F.col("shift"), threshold).alias("key"), "b", "less", F.col("tally").alias("tally_b"))
-    close = (_tallies_apart(F.col("tally_a"), F.col("tally_b")) <= 2 * threshold) & ((F.col("less") > 0) | (F.col("a") < F.col("b")))
+    probe = moved.select(_key(F.col("line"), F.col("length") - F.col("less"), F.col("i"), F.col("shift"), threshold).alias("key"), "b", F.shiftleft("tally", 2).bitwiseOR(F.col("less")).alias("more"))
+    # tally and difference share a number, as there are many probes
+    assert threshold < 4
+    less, tally_b = F.col("more").bitwiseAND(F.lit(3)), F.shiftright("more", 2)
+    close = (_tallies_apart(F.col("tally_a"), tally_b) <= 2 * threshold) & ((less > 0) | (F.col("a") < F.col("b")))
     pairs = stage(index.join(probe, "key").filter(close & (F.col("a") != F.col("b"))).select("a", "b").distinct(), "line-pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     ids = F.broadcast(ids) if small_enough(ids, MOST_LINES) else ids

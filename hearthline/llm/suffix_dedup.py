@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from hearthline.llm.common import pieces, span_hashes, stage, text_or_empty, utf8
 
@@ -79,19 +79,33 @@ def _phrases(docs: DataFrame, gram: int, span: int) -> DataFrame:
 
 
 def _named(rows: DataFrame, key: list[str]) -> DataFrame:
-    """d, i and name: an increasing number of each different key in sorted order."""
+    """The rows with ``name``: an increasing number of each different key in sorted order."""
     names = stage(rows.select(*key).distinct().orderBy(*key).withColumn("order", F.monotonically_increasing_id()), "suffix-names")
     same = [rows[c].eqNullSafe(names[c]) for c in key]
     on = same[0]
     for c in same[1:]:
         on = on & c
-    return rows.join(names, on).select(rows["d"], rows["i"], names["order"].alias("name"))
+    return rows.join(names, on).select(*(rows[c] for c in rows.columns), names["order"].alias("name"))
 
 
-def _then(names: DataFrame, step: int) -> DataFrame:
-    """Each sampled suffix with the names ``step`` and twice that further on."""
-    ahead = lambda k, c: names.select("d", (F.col("i") - k * step).alias("i"), F.col("name").alias(c))
-    return names.join(ahead(1, "name1"), ["d", "i"], "left").join(ahead(2, "name2"), ["d", "i"], "left")
+def _ranked(symbols: DataFrame) -> DataFrame:
+    """d, i and rank of the sampled suffixes: arrays that sort as the suffixes do, equal where all their symbols are.
+
+    Every rank begins with the name of the first triple of symbols. Where a suffix has more symbols than its name covers, the
+    name of the triple of ranks here, one and two steps on is added; suffixes of one rank have as many symbols, so they go on
+    together. A step covers three times as many symbols as the last.
+    """
+    sample = symbols.filter("i % 3 > 0").select("d", "i", F.size("ahead").alias("n"), "s0", "s1", "s2")
+    ranks = stage(_named(sample, ["s0", "s1", "s2"]).select("d", "i", "n", F.array("name").alias("rank")), "suffix-level")
+    step = 3
+    while not (longer := ranks.filter(F.col("n") > step)).isEmpty():
+        later = lambda k: F.first("rank").over(W.partitionBy("d").orderBy("i").rangeBetween(k * step, k * step))
+        near = ranks.join(longer.select("d").distinct(), "d", "left_semi").withColumns({"rank1": later(1), "rank2": later(2)})
+        more = _named(near.filter(F.col("n") > step), ["rank", "rank1", "rank2"])
+        grown = more.select("d", "i", "n", F.concat("rank", F.array("name")).alias("rank"))
+        ranks = stage(ranks.filter(F.col("n") <= step).unionByName(grown), "suffix-level")
+        step *= 3
+    return ranks.select("d", "i", "rank")
 
 
 def _adjacent(ordered: DataFrame) -> DataFrame:
@@ -144,18 +158,15 @@ def longest_runs(parted: DataFrame, length: int, gram: int) -> DataFrame:
     kept = once.join(often, "h", "left_semi").groupBy("d").agg(F.collect_set("i").alias("kept"))
     # phrases in their places, null where a phrase occurs once
     symbols = stage(_suffixes(_with_gaps(parted.join(kept, "d")), length, gram), "suffixes")
-    sample = symbols.filter("i % 3 > 0").select("d", "i", "s0", "s1", "s2")
-    names = stage(_named(sample, ["s0", "s1", "s2"]), "suffix-level")
-    step = 3
-    total = names.count()
-    while total and step < length and names.select("name").distinct().count() < total:
-        names = stage(_named(_then(names, step), ["name", "name1", "name2"]), "suffix-level")
-        step *= 3
-    at = lambda k: names.select("d", (F.col("i") - k).alias("i"), F.col("name").alias("rank"))
+    ranks = _ranked(symbols)
+    ahead = [ranks.select("d", (F.col("i") - k).alias("i"), F.col("rank").alias(f"rank{k}")) for k in range(3)]
+    behind = ahead[0].unionByName(ahead[1], allowMissingColumns=True).unionByName(ahead[2], allowMissingColumns=True)
+    behind = behind.groupBy("d", "i").agg(*(F.max(f"rank{k}").alias(f"rank{k}") for k in range(3)))
+    ready = stage(symbols.drop("s2").join(behind, ["d", "i"], "left"), "suffixes")
     # three orders, in each of which two of the three classes of suffixes are merged
-    by_sample = symbols.join(at(0), ["d", "i"]).orderBy("rank", "d", "i")
-    by_one = symbols.filter("i % 3 < 2").join(at(1), ["d", "i"], "left").orderBy("s0", "rank", "d", "i")
-    by_two = symbols.filter("i % 3 <> 1").join(at(2), ["d", "i"], "left").orderBy("s0", "s1", "rank", "d", "i")
+    by_sample = ready.filter("i % 3 > 0").orderBy("rank0", "d", "i")
+    by_one = ready.filter("i % 3 < 2").orderBy("s0", "rank1", "d", "i")
+    by_two = ready.filter("i % 3 <> 1").orderBy("s0", "s1", "rank2", "d", "i")
     runs = _adjacent(by_sample).unionByName(_adjacent(by_one)).unionByName(_adjacent(by_two))
     return runs.groupBy("d", "i").agg(F.max("run").alias("run"))
 
@@ -251,14 +262,13 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, span:
     # the groups of strings whose inner phrases occur elsewhere; those that no run covers are open
     def groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, datas in _texts(batches):
-            rows = []
             for data, digest, found in zip(datas, batch.column("digest"), batch.column("runs").to_pylist()):
                 lo, hi, inside, sure = _windows(data, {r["i"]: r["run"] for r in found}, length, gram, span)
-                covered = np.concatenate([[0], np.cumsum(sure)])
-                for a, b, h in zip(lo.tolist(), hi.tolist(), inside.tolist()):
-                    rows.append((digest.as_py(), a, b, h, bool(covered[b + 1] - covered[a] < b + 1 - a)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()))], ["digest", "lo", "hi", "inside", "open"])
+                if len(lo):
+                    covered = np.concatenate([[0], np.cumsum(sure)])
+                    some = covered[hi + 1] - covered[lo] < hi + 1 - lo
+                    columns = [pa.array([digest.as_py()] * len(lo), pa.binary()), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(inside), pa.array(some)]
+                    yield pa.RecordBatch.from_arrays(columns, ["digest", "lo", "hi", "inside", "open"])
 
     with_runs = stage(texts.filter("runs IS NOT NULL").select("digest", "text", "copies", "runs").dropDuplicates(["digest"]), "repeated-texts")
     spots = stage(with_runs.mapInArrow(groups_of, "digest binary, lo int, hi int, inside long, open boolean"), "string-groups")

@@ -49,7 +49,11 @@ _REPEATED = (
     "sort_array(transform(filter(_hashed, (x, k) -> coalesce(get(_hashed, k - 1).h = x.h, false)"
     " OR coalesce(get(_hashed, k + 1).h = x.h, false)), x -> x.i))"
 )
+#: Words under such windows. Each step is bound to a name by a list of one: written as columns, the optimizer may copy a step into
+#: the lambdas of the next, which would then run it once for each word.
 _COVERED = "aggregate(transform(_repeated, (p, k) -> least(3, coalesce(get(_repeated, k + 1) - p, 3))), 0L, (a, x) -> a + x)"
+for _name, _step in (("_repeated", _REPEATED), ("_hashed", _HASHED), ("_windows", _WINDOWS), ("_packed", _PACKED), ("_words", _WORDS)):
+    _COVERED = f"transform(array({_step}), {_name} -> {_COVERED})[0]"
 
 
 def bad_line(line: Column) -> Column:
@@ -78,10 +82,6 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         docs.withColumn("_text", text_or_empty())
         .withColumn("_t", F.btrim("_text", F.lit(BLANK)))
         .withColumn("_words", F.expr(_WORDS))
-        .withColumn("_packed", F.expr(_PACKED))
-        .withColumn("_windows", F.expr(_WINDOWS))
-        .withColumn("_hashed", F.expr(_HASHED))
-        .withColumn("_repeated", F.expr(_REPEATED))
         .withColumn("_lines", F.split("_text", "\n"))
         .withColumn("_full", F.filter("_lines", lambda x: F.btrim(x, F.lit(BLANK)) != ""))
         .withColumn("_passed", F.filter("_lines", lambda x: (F.btrim(x, F.lit(BLANK)) == "") | ~bad_line(x)))
@@ -97,7 +97,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         "n_failed_lines": (F.size("_lines") - F.size("_passed")).cast("long"),
         "lost_chars": chars - F.length("cleaned"),
         "n_chars_in": chars,
-    }).drop("_text", "_t", "_words", "_packed", "_windows", "_hashed", "_repeated", "_lines", "_full", "_passed")
+    }).drop("_text", "_t", "_words", "_lines", "_full", "_passed")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return counted.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("lost_chars") <= LOST_SHARE * F.col("n_chars_in"))

@@ -24,7 +24,7 @@ from hearthline.llm.common import pieces
 
 MARK = "▁"
 #: Distinct words whose ids a task keeps; beyond that it starts anew.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 250_000
 #: The longest word that is kept.
 KEPT_CHARS = 64
 
@@ -70,7 +70,7 @@ class PieceCodec:
             if len(piece) == 1 or piece in self.whole:
                 self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
-        self.fits = lru_cache(1 << 21)(self._fits)
+        self.fits = lru_cache(1 << 18)(self._fits)
         self.kept: dict[str, str] = {}
 
     def _run(self, n: int) -> list[int]:

@@ -1,8 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds join training passages to test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds join training passages to test items, Smith-Waterman alignment scores them.
 
-Words are lower-cased (A-Z). How often each item n-gram occurs is counted over all documents; in every run of neighbouring
-n-grams of an item the rarest is a seed, so that an item that leaked very often keeps its seeds. Documents in which seeds of
-an item lie near one diagonal give passages, and each passage is aligned with its item.
+Words are lower-cased (A-Z). Every n-gram of an item is a seed, whatever its frequency, and one seed is enough: the seeds of
+an item that lie near one diagonal of a document give a window, each window that has enough words of its item is aligned with
+it, and of alignments that overlap the best counts. So a copy is found as long as GRAM neighbouring words of it are intact.
 
 Null and blank texts hold no passage. Items shorter than the n-gram are one seed of all their words; items without words
 match nothing. A row is one passage: a document that holds an item twice gives two rows, repeated rows give repeated results,
@@ -21,9 +21,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from hearthline.llm.common import Words, lowered, mix, pieces, small_enough, stage, utf8
 
 GRAM = 3
-#: In every so many neighbouring n-grams of an item the rarest is a seed.
-EVERY = 3
-#: Item n-grams up to which the seeds travel with the tasks (16 bytes each); beyond, words are joined by hash.
+#: Item n-grams up to which they travel with the tasks (16 bytes each); beyond, words are joined by hash.
 MOST_GRAMS = 200_000
 #: Alignment: points for equal words, for different words, and for a word without partner.
 MATCH, OTHER, GAP = 2, -1, -1
@@ -55,7 +53,7 @@ def item_grams(items: DataFrame, key: str = "item_id") -> DataFrame:
     """item, place and gram of each n-gram of each item, with the item's number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "text"):
+        for batch, texts in pieces(batches, "text", 1 << 20):
             words, hashes = _tokens(texts)
             for k, item in enumerate(batch.column("item").to_pylist()):
                 mine = hashes[words.first[k] : words.first[k + 1]]
@@ -70,95 +68,43 @@ def item_grams(items: DataFrame, key: str = "item_id") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _document_grams(docs: DataFrame, only: np.ndarray | None, short: list[int]) -> DataFrame:
-    """gram and number of documents, per run of texts, of the n-grams in documents (only those of a sorted array, if given)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0 if only is None else len(only), np.int64)
-        for _, texts in pieces(batches, "text"):
-            words, hashes = _tokens(texts)
-            doc = words.doc()
-            found = []
-            for n in short if only is None or len(only) else ():
-                grams = gram_hashes(hashes, n)
-                whole = doc[: len(grams)] == doc[n - 1 :]
-                grams, owner = grams[whole], doc[: len(grams)][whole]
-                if only is not None:
-                    at = np.minimum(np.searchsorted(only, grams), len(only) - 1)
-                    hit = only[at] == grams
-                    found.append(np.stack([at[hit], owner[hit]], 1))
-                else:
-                    found.append(np.stack([_signed(grams), owner], 1))
-            if not found:
-                continue
-            pairs = np.unique(np.concatenate(found), axis=0)
-            if only is not None:
-                total += np.bincount(pairs[:, 0], minlength=len(only))
-            else:
-                grams, n = np.unique(pairs[:, 0], return_counts=True)
-                yield pa.RecordBatch.from_pydict({"gram": grams, "n": n})
-        if only is not None and total.any():
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict({"gram": _signed(only[some]), "n": total[some]})
-
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "gram long, n long")
-
-
-def seeds(docs: DataFrame, grams: DataFrame, only: np.ndarray | None, short: list[int]) -> DataFrame:
-    """The item n-grams that are the rarest over all documents in a run of EVERY neighbours (ties: the first)."""
-    from pyspark.sql import Window as W
-
-    counts = _document_grams(docs, only, short).groupBy("gram").agg(F.sum("n").alias("n"))
-    rated = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    key = F.struct("n", "place")
-    # a place is a seed if it is the least of some run that holds it; runs at an item's ends may be shorter
-    w = W.partitionBy("item").orderBy("place")
-    runs = [F.min(key).over(w.rowsBetween(-k, EVERY - 1 - k)) == key for k in range(EVERY)]
-    is_seed = runs[0]
-    for r in runs[1:]:
-        is_seed = is_seed | r
-    return rated.withColumn("seed", is_seed).filter("seed").select("item", "place", "gram", "size")
-
-
-def _passages(hits: list[tuple], most: int) -> list[tuple]:
-    """(item, first word, word after the last) of each cluster of hits (item, size, document word, item word) of a document."""
+def _windows(hits: list[tuple], most: int) -> list[tuple]:
+    """(item, [(first word, word after the last)]) of the clusters of hits (item, size, document word, item word) of a document."""
     by_item: dict = defaultdict(list)
     for item, size, at, place in hits:
-        by_item[item].append((at - place, at, place, size))
+        by_item[item].append((at - place, size))
     out = []
     for item, found in by_item.items():
         found.sort()
-        group: list[tuple] = []
-        for x in [*found, None]:
-            slack = max(4, found[0][3] // 4)
-            if group and (x is None or x[0] - group[-1][0] > slack):
-                size = group[0][3]
-                # one seed alone speaks for a passage only if the item has hardly more
-                if len({g[2] for g in group}) >= min(2, size // (2 * GRAM)) or size <= 2 * GRAM:
-                    out.append((item, max(0, group[0][0] - slack), min(most, group[-1][0] + size + slack)))
-                group = []
-            if x:
-                group.append(x)
+        size = found[0][1]
+        slack = max(4, size // 4)
+        breaks = [k for k in range(1, len(found)) if found[k][0] - found[k - 1][0] > slack]
+        groups = [(found[a][0], found[b - 1][0]) for a, b in zip([0, *breaks], [*breaks, len(found)])]
+        out.append((item, [(max(0, a - slack), min(most, b + size + slack)) for a, b in groups]))
     return out
 
 
 def passages(docs: DataFrame, seed_rows: DataFrame, keep: list[str], seed_list: list | None, short: list[int]) -> DataFrame:
-    """The kept columns with item, first word and words of each passage that may hold an item."""
+    """The kept columns with item, and first word and words of each passage that may hold it."""
     item_type = seed_rows.schema["item"].dataType
     kept = [docs.schema[c] for c in keep]
-    out = T.StructType([*kept, T.StructField("item", item_type), *T.StructType.fromDDL("first_word int, passage array<string>").fields])
+    out = T.StructType([*kept, T.StructField("item", item_type), *T.StructType.fromDDL("first_words array<int>, passages array<array<string>>").fields])
+    types = (None, pa.list_(pa.int32()), pa.list_(pa.list_(pa.string())))
 
     def cut(words: Words, data: bytes, k: int, low: int, high: int) -> list[str]:
         a = words.first[k]
         return [data[s:e].decode() for s, e in zip(words.starts[a + low : a + high].tolist(), words.ends[a + low : a + high].tolist())]
 
+    def row(words: Words, data: bytes, k: int, item: object, spans: list[tuple]) -> tuple:
+        return k, item, [low for low, _ in spans], [cut(words, data, k, *span) for span in spans]
+
     if seed_list is not None:
         grams = np.array([r.gram for r in seed_list], np.int64).view(np.uint64)
         order = np.argsort(grams, kind="stable")
         sorted_grams, info = grams[order], [(seed_list[i].item, seed_list[i].size, seed_list[i].place) for i in order]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, texts in pieces(batches, "text"):
+            for batch, texts in pieces(batches, "text", 1 << 20):
                 words, hashes = _tokens(texts)
                 doc = words.doc()
                 hits: dict[int, list] = defaultdict(list)
@@ -177,11 +123,10 @@ def passages(docs: DataFrame, seed_rows: DataFrame, keep: list[str], seed_list:
                 rows = []
                 data = words.flat.tobytes() if hits else b""
                 for k, found in hits.items():
-                    for item, low, high in _passages(found, int(words.counts[k])):
-                        rows.append((k, item, low, cut(words, data, k, low, high)))
+                    rows += [row(words, data, k, *window) for window in _windows(found, int(words.counts[k]))]
                 if rows:
                     taken = batch.take(pa.array([r[0] for r in rows]))
-                    columns = [pa.array(c, t) for c, t in zip(list(zip(*rows))[1:], (None, pa.int32(), pa.list_(pa.string())))]
+                    columns = [pa.array(c, t) for c, t in zip(list(zip(*rows))[1:], types)]
                     yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in keep), *columns], out.names)
 
         return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, out)
@@ -192,7 +137,7 @@ def passages(docs: DataFrame, seed_rows: DataFrame, keep: list[str], seed_list:
     placed = docs.select(*keep, text.alias("text"), F.xxhash64(text).alias("_h"), F.crc32(text).alias("_c"))
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "text"):
+        for batch, texts in pieces(batches, "text", 1 << 20):
             words, hashes = _tokens(texts)
             doc, h, c = words.doc(), batch.column("_h").to_numpy(), batch.column("_c").to_numpy()
             for n in short:
@@ -207,15 +152,14 @@ def passages(docs: DataFrame, seed_rows: DataFrame, keep: list[str], seed_list:
     grouped = hit.groupBy("_h", "_c").agg(F.collect_set(F.struct("item", "size", "at", "place")).alias("hits"))
 
     def clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "text"):
+        for batch, texts in pieces(batches, "text", 1 << 20):
             words, _ = _tokens(texts)
             data, rows = words.flat.tobytes(), []
             for k, found in enumerate(batch.column("hits").to_pylist()):
-                for item, low, high in _passages([tuple(h.values()) for h in found], int(words.counts[k])):
-                    rows.append((k, item, low, cut(words, data, k, low, high)))
+                rows += [row(words, data, k, *window) for window in _windows([tuple(h.values()) for h in found], int(words.counts[k]))]
             if rows:
                 taken = batch.take(pa.array([r[0] for r in rows]))
-                columns = [pa.array(c, t) for c, t in zip(list(zip(*rows))[1:], (None, pa.int32(), pa.list_(pa.string())))]
+                columns = [pa.array(c, t) for c, t in zip(list(zip(*rows))[1:], types)]
                 yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in keep), *columns], out.names)
 
     back = placed.join(grouped, ["_h", "_c"]).select(*keep, "text", "hits")
@@ -255,10 +199,38 @@ def smith_waterman(passage: list[str], item: list[str]) -> tuple[int, int, int,
     return best
 
 
+def best_passages(windows: list[tuple[int, list[str]]], item: list[str]) -> list[tuple[int, int, int, int]]:
+    """(points, equal words, first, end) of the passages of a document, given as windows (first word, words), that reach the
+    bounds. The best comes first, and what lies beside it in the windows it touches is aligned again, so no two overlap."""
+    vocabulary, enough = set(item), max(SCORE * len(item), min(len(item), EQUAL_WORDS))
+
+    def aligned(first: int, words: list[str]) -> Iterator[tuple]:
+        # no alignment has more equal words than the window has words of the item
+        if sum(w in vocabulary for w in words) >= enough:
+            points, equal, a, b = smith_waterman(words, item)
+            if points >= SCORE * MATCH * len(item) and equal >= min(len(item), EQUAL_WORDS):
+                yield points, equal, first + a, first + b, first, words
+
+    left, out = [x for window in windows for x in aligned(*window)], []
+    while left:
+        best = max(left, key=lambda x: (x[0], -x[2]))
+        begin, end = best[2:4]
+        out.append(best[:4])
+        again: list = []
+        for x in left:
+            first, words = x[4:]
+            if x is not best and (x[3] <= begin or end <= x[2]):
+                again.append(x)
+            else:
+                again += [*aligned(first, words[: max(0, begin - first)]), *aligned(max(first, end), words[max(0, end - first) :])]
+        left = again
+    return sorted(set(out), key=lambda x: x[2])
+
+
 def align(found: DataFrame, items: DataFrame, keep: list[str], key: str = "item_id") -> DataFrame:
     """The passages with the points of their best alignment and its place in the document, those that reach the bounds."""
     texts = items.select(F.col(key).alias("item"), F.col("text").cast("string").alias("item_text"))
-    scored = [f for f in found.schema if f.name != "passage"]
+    scored = [f for f in found.schema if f.name not in ("first_words", "passages")]
     out = T.StructType([*scored, *T.StructType.fromDDL("score double, item_words int, equal_words int, begin_word int, end_word int").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,18 +239,15 @@ def align(found: DataFrame, items: DataFrame, keep: list[str], key: str = "item_
                 words, _ = _tokens(batch.column("item_text").fill_null("").cast(pa.large_string()))
                 data, rows = words.flat.tobytes(), []
                 spans = list(zip(words.starts.tolist(), words.ends.tolist()))
-                for k, passage in enumerate(batch.column("passage").to_pylist()):
+                for k, (firsts, passages) in enumerate(zip(batch.column("first_words").to_pylist(), batch.column("passages").to_pylist())):
                     item = [data[s:e].decode() for s, e in spans[words.first[k] : words.first[k + 1]]]
-                    points, equal, first, end = smith_waterman(passage, item)
-                    rows.append((points / (MATCH * len(item)), len(item), equal, first, end))
-                score, size, equal, first, end = (np.array(c) for c in zip(*rows))
-                at = batch.column("first_word").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(f.name) for f in scored), pa.array(score), *(pa.array(c.astype(np.int32)) for c in (size, equal, first + at, end + at))], out.names
-                )
+                    rows += [(k, points / (MATCH * len(item)), len(item), *rest) for points, *rest in best_passages(list(zip(firsts, passages)), item)]
+                if rows:
+                    at, score, *rest = zip(*rows)
+                    taken = batch.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([*(taken.column(f.name) for f in scored), pa.array(score, pa.float64()), *(pa.array(c, pa.int32()) for c in rest)], out.names)
 
-    rows = found.join(texts, "item").select(*found.columns, "item_text").mapInArrow(run, out)
-    return rows.filter((F.col("score") >= SCORE) & (F.col("equal_words") >= F.least("item_words", F.lit(EQUAL_WORDS))))
+    return found.join(texts, "item").select(*found.columns, "item_text").mapInArrow(run, out)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, keep: list[str], key: str = "item_id") -> DataFrame:
@@ -286,8 +255,5 @@ def contaminated(docs: DataFrame, items: DataFrame, keep: list[str], key: str =
     that is a copy, or an edited copy, of a benchmark item."""
     grams = stage(item_grams(items, key), "item-grams")
     short = sorted(r.n for r in grams.select(F.least("size", F.lit(GRAM)).alias("n")).distinct().collect()) or [GRAM]
-    small = small_enough(grams, MOST_GRAMS)
-    only = np.unique(np.array([r.gram for r in grams.select("gram").collect()], np.int64).view(np.uint64)) if small else None
-    chosen = seeds(docs, grams, only, short)
-    found = passages(docs, chosen, keep, chosen.collect() if small else None, short)
-    return align(found, items, keep, key).drop("first_word")
+    found = passages(docs, grams, keep, grams.collect() if small_enough(grams, MOST_GRAMS) else None, short)
+    return align(found, items, keep, key)

@@ -64,6 +64,32 @@ def test_same_as_plain(spark, monkeypatch, bound):
         assert score == round(r.score * d.MATCH * r.item_words)
 
 
+@pytest.mark.parametrize("bound", [d.MOST_GRAMS, 0])
+def test_regular_edits(spark, monkeypatch, bound):
+    """Every 4th or 5th word changed, and counts of n-grams that only the edited copies raise."""
+    monkeypatch.setattr(d, "MOST_GRAMS", bound)
+    items, docs = [], []
+    for size in (20, 30, 38, 59):
+        for every in (4, 5):
+            for start in range(every):
+                k = len(items)
+                item = [f"i{k}w{n}" for n in range(size)]
+                items.append((k, " ".join(item)))
+                docs.append((k, " ".join(["before"] * 50 + [f"x{n}" if n % every == start else w for n, w in enumerate(item)] + ["after"] * 50)))
+    found = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])
+    assert sorted((r.doc_id, r.item) for r in found.collect()) == [(k, k) for k in range(len(items))]
+
+
+def test_passages_do_not_overlap(spark):
+    """An item that repeats a run of words: seeds on other diagonals of one copy are no second passage; copies in a row are."""
+    run = [f"r{k}" for k in range(5)]
+    item = run + [f"a{k}" for k in range(15)] + run + [f"b{k}" for k in range(15)]
+    docs = spark.createDataFrame([(1, " ".join(["x"] * 30 + item + ["y"] * 30)), (2, " ".join(item * 3))], "doc_id long, text string")
+    found = d.contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"), ["doc_id"]).collect()
+    assert sorted((r.doc_id, r.begin_word, r.end_word) for r in found) == [(1, 30, 70), (2, 0, 40), (2, 40, 80), (2, 80, 120)]
+    assert {r.score for r in found} == {1.0}
+
+
 def test_alignment_equals_plain():
     rng = random.Random(4)
     for _ in range(300):

@@ -208,14 +208,81 @@ def shingle_sets(docs: DataFrame, key: str, size: int) -> DataFrame:
 #: For groups of similar texts: 256 bits of 5-word shingles. Texts of similarity 0.8 differ in 39 bits in the mean, with a
 #: deviation of 6, and in 10 of the first 64, with a deviation of 3; unrelated ones differ in 128.
 COPY_SHINGLE, COPY_WORDS64, COPY_RADIUS, COPY_FIRST, SIMILARITY = 5, 4, 54, 20, 0.8
+#: Shingles that one tile of texts holds at most where fragments are compared (in the mean, by hash).
+TILE_SHINGLES = 1 << 18
+
+
+def _joins(x: pa.StructArray, y: pa.StructArray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of fingerprints of two tiles (fp, fragment, shingles) that are candidates and similar, enough of them to join
+    all the fragments that such pairs join."""
+    def parts(t: pa.StructArray) -> tuple[np.ndarray, ...]:
+        fp, names, sets = t.flatten()
+        return *(np.array(c.flatten()).reshape(len(t), -1) for c in (fp, names)), np.array(sets.flatten()), np.array(sets.value_lengths())
+
+    (fp, names, flat, sizes), (fp_y, names_y, flat_y, sizes_y) = parts(x), parts(y)
+    of = np.unique(np.concatenate([names, names_y]), axis=0, return_inverse=True)[1].reshape(-1)
+    of, of_y = of[: len(names)], of[len(names) :]
+    joined = np.arange(len(names) + len(names_y))
+    keys, each = np.unique(np.concatenate([flat, flat_y]), return_inverse=True)
+    each, each_y = each[: len(flat)], each[len(flat) :]
+    shuts, shuts_y = np.cumsum(sizes), np.cumsum(sizes_y)
+    held = np.zeros(len(keys), bool)
+    for i in range(len(fp)):
+        bits = np.bitwise_count((fp[i] ^ fp_y).view(np.uint64))
+        ready = (joined[of_y] != joined[of[i]]) & (bits.sum(1) <= COPY_RADIUS) & (bits[:, 0] <= COPY_FIRST)
+        if same:
+            ready[: i + 1] = False
+        if not ready.any():
+            continue
+        mine = each[shuts[i] - sizes[i] : shuts[i]]
+        held[mine] = True
+        sums = np.concatenate([[0], np.cumsum(held[each_y])])
+        held[mine] = False
+        common = sums[shuts_y] - sums[shuts_y - sizes_y]
+        for j in np.flatnonzero(ready & (common >= SIMILARITY * (sizes[i] + sizes_y - common))).tolist():
+            if joined[of[i]] != joined[of_y[j]]:
+                joined[joined == joined[of_y[j]]] = joined[of[i]]
+                yield fp[i], fp_y[j]
+
+
+def joins(texts: DataFrame) -> DataFrame:
+    """Links a, b between fragments: of all candidates between different fragments of an area, those whose shingles are
+    similar, as far as they join fragments. ``texts``: fp, shingles, area, fragment.
+
+    Texts of an area are dealt over tiles by hash, those of a large fragment over tiles of its own that do not meet.
+    """
+    def sized(*keys: str) -> DataFrame:
+        return texts.groupBy(*keys).agg(F.sum(F.size("shingles")).alias("n"))
+
+    large = sized("area", "fragment").filter(F.col("n") > TILE_SHINGLES).select("area", "fragment", F.col("fragment").alias("own"))
+    parted = stage(texts.join(large, ["area", "fragment"], "left").withColumn("own", F.coalesce("own", F.array().cast("array<bigint>"))), "simhash-fragments")
+    many = parted.groupBy("area", "own").agg(F.ceil(F.sum(F.size("shingles")) / TILE_SHINGLES).alias("tiles"))
+    dealt = parted.join(many, ["area", "own"]).withColumn("tile", F.pmod(F.xxhash64("fp"), F.greatest("tiles", F.lit(1))))
+    tiles = dealt.groupBy("area", "own", "tile").agg(F.collect_list(F.struct("fp", "fragment", "shingles")).alias("x"))
+    tiles = stage(tiles.withColumn("id", F.monotonically_increasing_id()), "simhash-fragment-tiles")
+    ids = tiles.select("area", "own", "id")
+    partners = ids.join(ids.select("area", F.col("own").alias("own_y"), F.col("id").alias("id_y")), "area").filter(
+        "id <= id_y AND (own <> own_y OR size(own) = 0)"
+    ).select("id", "id_y")
+    pairs = partners.join(tiles.select("id", "x"), "id").join(tiles.select(F.col("id").alias("id_y"), F.col("x").alias("y")), "id_y")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                found = list(_joins(batch.column(0)[k].values, batch.column(1)[k].values, batch.column(2)[k].as_py()))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([list(f[c]) for f in found], pa.list_(pa.int64())) for c in (0, 1)], ["a", "b"])
+
+    return pairs.select("x", "y", (F.col("id") == F.col("id_y")).alias("same")).mapInArrow(compare, "a array<bigint>, b array<bigint>")
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows that stay when of each group of copies and near copies the one with the smallest doc_id is kept (null ids
     last, equal ids by text hash, equal rows once).
 
-    Links between fingerprints within COPY_RADIUS are candidates; the shortest ones that span each group are held against
-    the sets of 5-word shingles, and stand if those have at least SIMILARITY of their union in common.
+    Links between fingerprints within COPY_RADIUS are candidates, and stand if the sets of 5-word shingles have at least
+    SIMILARITY of their union in common. First the shortest candidates that span each area are tested; where that leaves an
+    area in several fragments, all candidates between different fragments are.
     """
     keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
     fps = stage(fingerprints(keyed.select("doc_id", "_text_hash", "text"), COPY_SHINGLE, COPY_WORDS64), "simhash")
@@ -230,8 +297,16 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
         sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b"
     )
     common = F.size(F.array_intersect("x", "y"))
-    edges = both.filter(common >= SIMILARITY * (F.size("x") + F.size("y") - common)).select("a", "b")
-    roots = groups(stage(edges, "simhash-links"), "a", "b").select(F.col("node").alias("fp"), "root")
+    edges = stage(both.filter(common >= SIMILARITY * (F.size("x") + F.size("y") - common)).select("a", "b"), "simhash-links")
+    areas = groups(close, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("area"))
+    fragments = groups(edges, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("fragment"))
+    placed = areas.join(fragments, "fp", "left").withColumn("fragment", F.coalesce("fragment", "fp"))
+    # an area's smallest node, which gives its name and that of its own fragment, is not among the nodes
+    first = areas.select(F.col("area").alias("fp"), "area", F.col("area").alias("fragment")).distinct()
+    placed = stage(placed.unionByName(first), "simhash-areas")
+    several = placed.groupBy("area").agg(F.min("fragment").alias("low"), F.max("fragment").alias("high")).filter("low <> high").select("area")
+    more = stage(joins(sets.join(placed.join(several, "area"), "fp")), "simhash-links")
+    roots = groups(edges.unionByName(more), "a", "b").select(F.col("node").alias("fp"), "root")
     stays = (
         nodes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("row").alias("row"))
         .select(F.col("row.doc_id").alias("_stays"), F.col("row._text_hash").alias("_text_hash"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -93,3 +94,45 @@ def test_chain_and_star_groups(spark):
     found = groups(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
     roots = {r.node: r.root for r in found if r.node != r.root}
     assert roots == {**{i: 0 for i in range(1, 31)}, **{100 + i: 100 for i in range(1, 50)}, 201: 200}
+
+
+def plain_copies(fps: dict[int, int], sets: dict[int, set]) -> list[int]:
+    """The least id of each group of copies, all pairs compared."""
+    parent = {k: k for k in fps}
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    words = np.array([[f >> 64 * n & (1 << 64) - 1 for n in range(simhash.COPY_WORDS64)] for f in fps.values()], np.uint64)
+    ids = list(fps)
+    for i, a in enumerate(ids):
+        bits = np.bitwise_count(words[:i] ^ words[i])
+        for j in np.flatnonzero((bits.sum(1) <= simhash.COPY_RADIUS) & (bits[:, 0] <= simhash.COPY_FIRST)).tolist():
+            b = ids[j]
+            if len(sets[a] & sets[b]) >= simhash.SIMILARITY * len(sets[a] | sets[b]):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return sorted(k for k in ids if root(k) == k)
+
+
+@pytest.mark.parametrize("tile", [simhash.TILE_SHINGLES, 400])
+def test_families_around_the_similarity(spark, monkeypatch, tile):
+    """Of a family, a link that the shortest forest leaves out can be the only one that is similar enough."""
+    monkeypatch.setattr(simhash, "TILE_SHINGLES", tile)
+    rng = random.Random(11)
+    rows = []
+    for family in range(200):
+        base = [f"f{family}w{k}" for k in range(150)]
+        for _ in range(6):
+            text = list(base)
+            for k in rng.sample(range(150), rng.randint(1, 4)):
+                text[k] = f"new{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(text)))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = simhash.fingerprints(docs, simhash.COPY_SHINGLE, simhash.COPY_WORDS64).collect()
+    fps = {r.doc_id: sum((f % (1 << 64)) << 64 * n for n, f in enumerate(r.fp)) for r in found}
+    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(146)} for k, t in rows}
+    assert sorted(r.doc_id for r in simhash.one_of_each_group(docs).collect()) == plain_copies(fps, sets)

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthline.llm import language_model
 from hearthline.llm.common import new_path, table
 from hearthline.llm.decontaminate import contaminated
+from hearthline.llm.html_extract import extract_pages
 from hearthline.llm.line_dedup import line_dedup
 from hearthline.llm.line_sql import OP5
+from hearthline.llm.periodic_runs import periodic_runs
 from hearthline.llm.piece_codec import encode_decode
+from hearthline.llm.prefix_trie import prefix_trie, turn_numbers
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.quality_sql import OP8
 from hearthline.llm.sharding import histogram_shards
@@ -98,3 +104,49 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def planted_order(batch: pa.RecordBatch, counts: np.ndarray) -> dict[int, np.ndarray]:
+    """The word order of texts whose end repeats, by the crc32 of the id."""
+    out = {}
+    for row, (key, n) in enumerate(zip(batch.column("id").to_pylist(), counts.tolist())):
+        h = zlib.crc32(str(key).encode()) if key is not None else 1
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            order = np.arange(n)
+            order[a:] = a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))
+            out[row] = order
+    return out
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated phrases of all documents, a tenth of which get a repeated end, and digests of runs and of what is left."""
+    found = periodic_runs(table(spark, sf_dir, "documents"), order=planted_order, full=False)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period",
+        F.expr("1000 * length div period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of conversations that take their first turns from the first conversation of their hundred."""
+    given = table(spark, sf_dir, "conversations")
+    own = turn_numbers(given)
+    c = F.col("conv_id")
+    convs = given.where(c.isNotNull()).select(c.cast("long").alias("conv_id")).distinct()
+    convs = convs.withColumns({"h": F.crc32(c.cast("string")) % 6, "base": c - c % 100})
+    heads = own.where((c % 100 == 0) & (F.col("number") <= 5)).withColumnRenamed("conv_id", "base")
+    first = convs.join(heads, "base").where("number <= h").select("conv_id", "number", "role", "text")
+    found = heads.groupBy("base").agg(F.count("*").alias("n_base"))
+    taken = convs.join(found, "base", "left").withColumn("k", F.least("h", F.coalesce("n_base", F.lit(0))))
+    rest = own.join(taken, "conv_id").where("number > h").select("conv_id", (F.col("number") - F.col("h") + F.col("k")).alias("number"), "role", "text")
+    return prefix_trie(given, first.unionByName(rest))
+
+
+@query
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_pages(table(spark, sf_dir, "pages"))

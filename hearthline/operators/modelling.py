@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,11 +24,53 @@ def fit_classifier(features: DataFrame, label: str, columns: Sequence[str], kind
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
-    """Every row with the probability of class 1 as a plain column, NULL where a feature is null."""
+    """Every row with the probability of class 1 as a plain column, NULL where a feature is null. A built-in expression of the
+    fitted weights or trees: no vectors and no function that generated code would have to ship."""
     columns = model.stages[0].getInputCols()
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    scored = model.transform(df).withColumn(out, F.when(whole, vector_to_array("probability")[1]))
-    return scored.drop("features", "rawPrediction", "probability", "prediction")
+    fitted = model.stages[-1]
+    if isinstance(fitted, GBTClassificationModel):
+        raw = 2 * margin(fitted, columns)
+    else:
+        raw = reduce(lambda a, b: a + b, [F.col(c).cast("double") * float(w) for c, w in zip(columns, fitted.coefficients)], F.lit(float(fitted.intercept)))
+    return df.withColumn(out, F.when(whole, 1 / (1 + F.exp(-raw))))
+
+
+@dataclass(frozen=True)
+class Node:
+    """A node of a fitted tree: a leaf with its value, or a split that sends values up to ``threshold`` left. ``cover`` is how many
+    training rows reached it."""
+
+    value: float
+    cover: float
+    feature: int = -1
+    threshold: float = 0.0
+    left: Node | None = None
+    right: Node | None = None
+
+
+def tree_nodes(model: GBTClassificationModel) -> list[tuple[float, Node]]:
+    """Weight and root of every tree of a boosted model over continuous features."""
+
+    def read(node) -> Node:
+        value, cover = float(node.prediction()), float(node.impurityStats().count())
+        if node.subtreeDepth() == 0:
+            return Node(value, cover)
+        split = node.split()
+        return Node(value, cover, int(split.featureIndex()), float(split.threshold()), read(node.leftChild()), read(node.rightChild()))
+
+    return [(float(w), read(tree._java_obj.rootNode())) for w, tree in zip(model.treeWeights, model.trees)]
+
+
+def margin(model: GBTClassificationModel, columns: Sequence[str]) -> Column:
+    """The weighted sum of the trees' leaves, half the log odds, as nested conditions."""
+
+    def walk(node: Node) -> Column:
+        if node.left is None:
+            return F.lit(node.value)
+        return F.when(F.col(columns[node.feature]).cast("double") <= node.threshold, walk(node.left)).otherwise(walk(node.right))
+
+    return reduce(lambda a, b: a + b, [walk(root) * w for w, root in tree_nodes(model)])
 
 
 def raw_score(vector: str | Column = "rawPrediction") -> Column:

@@ -60,13 +60,13 @@ def survival_probs(
     if not events:
         return score.withColumns({n: F.lit(1.0) for n in names} | {"survival_fitted": F.lit(False)})
     stages = [VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep"),
-              AFTSurvivalRegression(featuresCol="_features", labelCol="label", censorCol="censor", predictionCol="_scale")]
-    model = Pipeline(stages=stages).fit(usable)
-    shape = 1.0 / model.stages[-1].scale
-    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in features])
-    survive = lambda t: F.when(whole, F.exp(-F.pow(F.lit(float(t)) / F.col("_scale"), F.lit(shape))))
-    fitted = model.transform(score).withColumns({n: survive(t) for n, t in zip(names, times)} | {"survival_fitted": F.lit(True)})
-    return fitted.drop("_features", "_scale")
+              AFTSurvivalRegression(featuresCol="_features", labelCol="label", censorCol="censor")]
+    model = Pipeline(stages=stages).fit(usable).stages[-1]
+    # the scale of a row as a built-in expression; a null feature makes it null
+    terms = [F.col(c).cast("double") * float(w) for c, w in zip(features, model.coefficients)]
+    scale = F.exp(reduce(lambda a, b: a + b, terms, F.lit(float(model.intercept))))
+    survive = lambda t: F.exp(-F.pow(F.lit(float(t)) / scale, F.lit(1.0 / model.scale)))
+    return score.withColumns({n: survive(t) for n, t in zip(names, times)} | {"survival_fitted": F.lit(True)})
 
 
 def variance_report(df: DataFrame, columns: Sequence[str], event: str = "event_lost", minimum: float = 1e-6) -> DataFrame:

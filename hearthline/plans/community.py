@@ -727,20 +727,21 @@ def _(c: Inputs) -> DataFrame:
 
 
 # --- history -----------------------------------------------------------------------------------------------
-# existing: customers as they were (other balance for some, a few unknown); incoming: customers with positive balance
+# existing: customers as they were, without those of the furniture segment, who are new; incoming: customers as they are, without
+# those of the machinery segment, who have left; customers of the building segment had another balance
 
-OLD_SQL = """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 7 <> 1"""
-NEW_SQL = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 7 <> 0"
+OLD_SQL = """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_mktsegment <> 'FURNITURE'"""
+NEW_SQL = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'MACHINERY'"
 V1, V2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
 
 def _incoming(c: Inputs) -> DataFrame:
-    return c.table("customer").filter("c_custkey % 7 <> 0").select("c_custkey", "c_name", "c_acctbal")
+    return c.table("customer").filter("c_mktsegment <> 'MACHINERY'").select("c_custkey", "c_name", "c_acctbal")
 
 
 def _history(c: Inputs) -> DataFrame:
     old = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
-    rows = c.table("customer").filter(F.expr("c_custkey % 7 <> 1")).select("c_custkey", "c_name", old.alias("c_acctbal"))
+    rows = c.table("customer").filter("c_mktsegment <> 'FURNITURE'").select("c_custkey", "c_name", old.alias("c_acctbal"))
     return scd.scd2_merge(rows, None, ["c_custkey"], V1)
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from hearthline.functions.bands import activity_bin, win_probability_rule
 from hearthline.functions.clock import quarter_start
-from hearthline.operators import experiments, modelling, recommend, revenue, survival
+from hearthline.operators import experiments, hazards, modelling, recommend, revenue, survival
+from hearthline.operators.copurchase import copurchase
 from hearthline.plans.fixtures import AS_OF, SALES_AS_OF
 from hearthline.plans.registry import Inputs, query
 
@@ -235,6 +236,24 @@ def _(c: Inputs) -> DataFrame:
     return recommend.with_cf_score(recommend.recommend(bought, _accounts(c), 10), recommend.fit_cf(bought))
 
 
+def _copurchase_sql(basket: str) -> str:
+    return f"""SELECT product_id, partner_id, baskets, rank FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY baskets DESC, partner_id) AS rank FROM (
+    SELECT x.p AS product_id, y.p AS partner_id, count(*) AS baskets FROM ({basket}) x JOIN ({basket}) y ON x.b = y.b AND x.p <> y.p GROUP BY 1, 2)) WHERE rank <= 10"""
+
+
+@query("r17_copurchase", _copurchase_sql("SELECT DISTINCT l_orderkey AS b, l_partkey AS p FROM lineitem"), ints="rank")
+def _(c: Inputs) -> DataFrame:
+    lines = c.table("lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
+    return copurchase(lines)
+
+
+@query("r17_copurchase_by_account", _copurchase_sql("SELECT DISTINCT o_custkey AS b, l_partkey AS p FROM lineitem JOIN orders ON l_orderkey = o_orderkey"), ints="rank")
+def _(c: Inputs) -> DataFrame:
+    """All that an account ever bought is one basket; those of over 48 products are multiplied by blocks."""
+    lines = c.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("product_id"))
+    return copurchase(lines.join(c.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey"), basket="o_custkey", large=48)
+
+
 # --- experiments -------------------------------------------------------------------------------------------
 
 AB = "treatment control"
@@ -342,6 +361,14 @@ def _(c: Inputs) -> DataFrame:
     return out.select("opportunity_id", "survival_prob_30d", "survival_prob_60d", "survival_prob_90d")
 
 
+@query("m7_cox_survival")
+def _(c: Inputs) -> DataFrame:
+    df = _features(c)
+    model = hazards.fit_cox(df.filter("is_closed"), COVARIATES[:3])
+    out = hazards.cox_probs(model, df.filter("NOT is_closed"))
+    return out.select("opportunity_id", "hazard_ratio", "survival_prob_30d", "survival_prob_60d", "survival_prob_90d", "survival_fitted")
+
+
 M8_VARS = {"amount": "amount", "opportunity_id": "opportunity_id", "constant": "1"}
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hearthline.functions.bands import activity_bin, win_probability_rule
 from hearthline.functions.clock import quarter_start
-from hearthline.operators import experiments, hazards, modelling, recommend, revenue, survival
+from hearthline.operators import attribution, evaluation, experiments, hazards, modelling, recommend, revenue, survival
 from hearthline.operators.copurchase import copurchase
 from hearthline.plans.fixtures import AS_OF, SALES_AS_OF
 from hearthline.plans.registry import Inputs, query
@@ -400,6 +400,50 @@ def _(c: Inputs) -> DataFrame:
     return modelling.score(model, df.filter("NOT is_closed"), "win_probability").select("opportunity_id", "win_probability")
 
 
+RANKED_SQL = """SELECT p, pos, neg, sum(pos) OVER (ORDER BY p) - pos AS pos_below, sum(neg) OVER (ORDER BY p) - neg AS neg_below FROM (
+  SELECT win_probability AS p, count(*) FILTER (is_won) AS pos, count(*) FILTER (NOT is_won) AS neg FROM fx_opportunity JOIN fx_prediction USING (opportunity_id)
+  WHERE is_closed GROUP BY 1)"""
+
+
+def _judged(c: Inputs) -> DataFrame:
+    return c.opportunities.filter("is_closed").join(c.predictions.select("opportunity_id", "win_probability"), "opportunity_id")
+
+
+@query("m9_score_quality", f"""SELECT sum(pos + neg) AS n_rows, sum(pos) AS n_positive, sum(pos * (neg_below + neg / 2.0)) / (sum(pos)::DOUBLE * sum(neg)) AS auc,
+  -sum(pos * ln(q) + neg * ln(1 - q)) / sum(pos + neg) AS log_loss, sum(pos * (1 - p) * (1 - p) + neg * p * p) / sum(pos + neg) AS brier
+  FROM (SELECT *, least(greatest(p, 1e-15), 1 - 1e-15) AS q FROM ({RANKED_SQL}))""", floats="auc log_loss brier", ints="n_rows n_positive")
+def _(c: Inputs) -> DataFrame:
+    return evaluation.classifier_quality(_judged(c), "win_probability", "is_won")
+
+
+@query("m9_calibration", f"""SELECT floor((pos_below + neg_below) * 10.0::DOUBLE / total) AS bin, sum(pos + neg) AS n_rows, sum(p * (pos + neg)) / sum(pos + neg) AS mean_score,
+  sum(pos)::DOUBLE / sum(pos + neg) AS share_positive FROM (SELECT *, sum(pos + neg) OVER () AS total FROM ({RANKED_SQL})) GROUP BY 1""",
+       floats="mean_score share_positive", ints="bin n_rows")
+def _(c: Inputs) -> DataFrame:
+    return evaluation.calibration(_judged(c), "win_probability", "is_won")
+
+
+@query("m9_held_out_quality")
+def _(c: Inputs) -> DataFrame:
+    """Both kinds of classifier, fitted on seven tenths of the closed deals, on the rest."""
+    closed = _features(c).filter("is_closed").withColumn("won", F.col("is_won").cast("int"))
+    train, rest = evaluation.split_by_hash(closed, "opportunity_id")
+    kinds = {"logistic": {"maxIter": 10}, "gbt": {"maxIter": 5, "maxDepth": 3, "seed": 1}}
+    scored = {k: modelling.score(modelling.fit_classifier(train, "won", COVARIATES, k, **p), rest, "p") for k, p in kinds.items()}
+    first, second = (evaluation.classifier_quality(df, "p", "won").withColumn("kind", F.lit(k)) for k, df in scored.items())
+    return first.unionByName(second)
+
+
+@query("m10_tree_factors")
+def _(c: Inputs) -> DataFrame:
+    """The three covariates that move each open deal's score most, by fitted trees."""
+    df = _features(c)
+    closed = df.filter("is_closed").withColumn("won", F.col("is_won").cast("int"))
+    model = modelling.fit_classifier(closed, "won", COVARIATES, "gbt", maxIter=5, maxDepth=3, seed=1)
+    found = attribution.top_contributions(attribution.tree_contributions(model, df.filter("NOT is_closed").select("opportunity_id", *COVARIATES)))
+    return found.drop("contributions", *COVARIATES)
+
+
 COEFS = {"p_retailprice": 0.01, "p_size": -0.5, "p_partkey": 0.002, "weight": 3.0}
 MEANS = {"p_retailprice": 1400.0, "p_size": 25.0, "p_partkey": 900.0, "weight": 2.0}
 

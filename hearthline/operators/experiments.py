@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from hearthline.functions.casts import date_lit
+from hearthline.functions.gamma import chi_square_tail
 from hearthline.functions.stats import hash_fraction
 
 TREATMENT, CONTROL = "treatment", "control"
@@ -122,3 +123,29 @@ def ab_chi_square(results: DataFrame) -> DataFrame:
         F.try_divide((a + b + c + d) * F.pow(a * d - b * c, 2), margins).alias("chi_square"),
     )
     return table
+
+
+def ab_significance(results: DataFrame) -> DataFrame:
+    """The chi-square table of every test with ``p_value``, the probability of so large a statistic without any effect."""
+    table = ab_chi_square(results)
+    return table.withColumn("p_value", chi_square_tail(F.col("chi_square"), F.lit(1)))
+
+
+def contingency_test(df: DataFrame, rows: str, columns: str, group: Sequence[str] = ()) -> DataFrame:
+    """Chi-square test of independence of two columns, by ``group``: ``n``, ``degrees``, ``chi_square`` and ``p_value``. Null is a
+    value like any other; with one row or column value there is no degree of freedom and both figures are NULL.
+
+    Input rows shrink to cells first; the statistic is n x (sum of cell² / (row x column) - 1), so empty cells need no row.
+    """
+    keys = [F.col(g).alias(f"g{k}") for k, g in enumerate(group)]
+    names = [f"g{k}" for k in range(len(group))]
+    cells = df.select(*keys, F.col(rows).alias("r"), F.col(columns).alias("c")).groupBy(*names, "r", "c").agg(F.count("*").alias("n"))
+    by = lambda *more: W.partitionBy(*names, *more)
+    sums = cells.withColumns({"row": F.sum("n").over(by("r")), "column": F.sum("n").over(by("c"))})
+    tested = sums.groupBy(*names).agg(
+        F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n") / F.col("row") / F.col("column")).alias("_parts"),
+        ((F.count_distinct(F.struct("r")) - 1) * (F.count_distinct(F.struct("c")) - 1)).alias("degrees"),
+    )
+    statistic = F.when(F.col("degrees") > 0, F.greatest(F.lit(0.0), F.col("n") * (F.col("_parts") - 1)))
+    out = tested.withColumn("chi_square", statistic).withColumn("p_value", chi_square_tail(F.col("chi_square"), F.col("degrees")))
+    return out.select(*[F.col(f"g{k}").alias(g) for k, g in enumerate(group)], "n", "degrees", "chi_square", "p_value")

@@ -308,15 +308,33 @@ def _(c: Inputs) -> DataFrame:
     return experiments.ab_by(scored, experiments.score_band())
 
 
-@query("m5_ab_chi_square", f"""SELECT test_id, treatment_purchases, b AS treatment_no_purchases, control_purchases, d AS control_no_purchases,
+AB_CHI_SQL = f"""SELECT test_id, treatment_purchases, b AS treatment_no_purchases, control_purchases, d AS control_no_purchases,
   (a + b + c + d) * pow(a * d - b * c, 2) / nullif((a + b) * (c + d) * (a + c) * (b + d), 0) AS chi_square FROM (
   SELECT *, CAST(treatment_purchases AS DOUBLE) AS a, CAST(treatment_count - treatment_purchases AS DOUBLE) AS b, CAST(control_purchases AS DOUBLE) AS c,
-  CAST(control_count - control_purchases AS DOUBLE) AS d FROM (SELECT test_id, {AB_SQL} FROM ab_results GROUP BY 1))""",
+  CAST(control_count - control_purchases AS DOUBLE) AS d FROM (SELECT test_id, {AB_SQL} FROM ab_results GROUP BY 1))"""
+
+
+@query("m5_ab_chi_square", AB_CHI_SQL,
        floats="chi_square", ints="treatment_no_purchases control_no_purchases")
 def _(c: Inputs) -> DataFrame:
     return experiments.ab_chi_square(c.ab_results)
 
 
+# P(1 degree) = 1 - erf(sqrt(x / 2)), and erf(s) is the sum of s^(2n+1) exp(-s²) / gamma(n + 3/2); an even number of degrees ends as a Poisson sum
+@query("m5_ab_significance", f"""SELECT *, CASE WHEN chi_square = 0 THEN 1 ELSE 1 - (SELECT sum(exp(-chi_square / 2 + (k + 0.5) * ln(chi_square / 2) - lgamma(k + 1.5))) FROM range(300) t(k)) END AS p_value
+  FROM ({AB_CHI_SQL})""", floats="chi_square p_value:8", ints="treatment_no_purchases control_no_purchases")
+def _(c: Inputs) -> DataFrame:
+    return experiments.ab_significance(c.ab_results)
+
+
+@query("m5_contingency", """SELECT n, d AS degrees, x AS chi_square, (SELECT sum(exp(-x / 2 + k * ln(x / 2) - lgamma(k + 1.0))) FROM range(1000) t(k) WHERE k < d / 2) AS p_value FROM (
+  SELECT CAST(sum(n) AS BIGINT) AS n, (count(DISTINCT r) - 1) * (count(DISTINCT c) - 1) AS d, sum(n) * (sum(n * n::DOUBLE / rn / cn) - 1) AS x FROM (
+  SELECT *, sum(n) OVER (PARTITION BY r) AS rn, sum(n) OVER (PARTITION BY c) AS cn FROM (SELECT stage_name AS r, industry AS c, count(*) AS n FROM fx_opportunity GROUP BY 1, 2)))""",
+       floats="chi_square p_value:8", ints="n degrees")
+def _(c: Inputs) -> DataFrame:
+    return experiments.contingency_test(c.opportunities, "stage_name", "industry")
+
+
 # --- survival ----------------------------------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from hearthline.layers import Layers
 from hearthline.operators import dims, facts, gold
 from hearthline.schemas import PARTITIONS, assert_schema
 from hearthline.sources.readers import declared_schema, read_table, table_exists
-from hearthline.sources.versions import promote, read_live, stage
+from hearthline.sources.versions import latest, promote, read_live, stage
 from hearthline.sources.writers import write_table
 
 log = logging.getLogger(__name__)
@@ -100,8 +100,8 @@ def load(spark: SparkSession, layers: Layers, name: str) -> DataFrame:
 
 
 def _previous(spark: SparkSession, layers: Layers, name: str) -> DataFrame | None:
-    probe = f"{layers.name(name)}/_pointer_log" if layers.root else layers.name(name)
-    return load(spark, layers, name) if table_exists(spark, probe) else None
+    known = latest(spark, layers.name(name)) is not None if layers.root else table_exists(spark, layers.name(name))
+    return load(spark, layers, name) if known else None
 
 
 def refresh(spark: SparkSession, layers: Layers, run: Run, names: Sequence[str] | None = None) -> list[tuple[str, str, str | None]]:

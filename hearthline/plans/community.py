@@ -8,6 +8,7 @@ from hearthline.functions.bands import quality_grade
 from hearthline.functions.casts import or_default, safe_bigint, safe_date, safe_timestamp, ts_or, valid_snowflake
 from hearthline.operators import dashboards, dims, explore, facts, filters, gold, intervals, prompts, quality, scd
 from hearthline.operators.dedupe import check_unique, find_duplicates, first_per_key, top_per_group
+from hearthline.operators.model_call import register_model
 from hearthline.plans.fixtures import AS_OF, AS_OF_TS, TZ
 from hearthline.plans.oracle import MC, VS, WEEKDAYS
 from hearthline.plans.registry import Inputs, query
@@ -831,6 +832,14 @@ def _(c: Inputs) -> DataFrame:
     return prompts.parse_response(prompts.batch_infer(rows, answer_length)).select("conv_id", "turn", "text", "error_message", "error")
 
 
+@query("ud2_model_rows", """SELECT conv_id, turn, role, text, CASE WHEN length(text) > 2000 THEN '{"errorMessage": "too long"}' ELSE '{"result": "' || length(text) || '"}' END AS response,
+  NULL::VARCHAR AS error FROM conversations""")
+def _(c: Inputs) -> DataFrame:
+    """The same call from SQL, over whole rows."""
+    register_model(c.spark, "answer_length", answer_length)
+    return c.spark.sql("SELECT * FROM answer_length_rows(TABLE({rows}), 'text')", rows=c.table("conversations"))
+
+
 @query("w6_top_per_group", "SELECT o_custkey, o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 5")
 def _(c: Inputs) -> DataFrame:
     return top_per_group(c.table("orders"), ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 5).select("o_custkey", "o_orderkey", "rank")

@@ -37,6 +37,8 @@ NAMES = set(
     "masthead topbar toolbar comment comments respond replies disqus share sharing social related recommended newsletter subscribe "
     "subscription signup login search form copyright legal skip pager pagination".split()
 )
+#: Names that stay boilerplate however much text they hold; the others may also describe the layout around an article.
+ALWAYS = set("comment comments respond replies disqus related recommended".split())
 ARTICLE = set("article main".split())
 #: Elements that keep their text although the names of a page's layout match: they hold the article.
 WHOLE = set("html body article main".split())
@@ -61,10 +63,10 @@ LINKED = 0.8
 class _Element:
     """An element, the number of its tag path, and what it has from the elements around it."""
 
-    __slots__ = ("tag", "parent", "path", "out", "link", "part", "depth", "held", "within")
+    __slots__ = ("tag", "parent", "path", "out", "named", "link", "part", "depth", "held", "within")
 
-    def __init__(self, tag: str, parent: _Element | None, path: int, out: bool):
-        self.tag, self.parent, self.path, self.out = tag, parent, path, out
+    def __init__(self, tag: str, parent: _Element | None, path: int, out: bool, named: bool):
+        self.tag, self.parent, self.path, self.out, self.named = tag, parent, path, out, named
         self.link = tag == "a" or bool(parent and parent.link)
         self.part = tag in PARTS or bool(parent and parent.part)
         self.depth = parent.depth + 1 if parent else 0
@@ -82,7 +84,7 @@ class _Nodes:
     front to end: no place is searched twice for the end of a tag, comment or quote that never comes."""
 
     def __init__(self, page: str):
-        self.top = _Element("html", None, 0, False)
+        self.top = _Element("html", None, 0, False, False)
         self.paths: dict[tuple[int, str], int] = {}
         self.made = [self.top]
         self.open: Counter[str] = Counter()
@@ -152,7 +154,8 @@ class _Nodes:
         if tag not in VOID:
             attrs = [(m[1].lower(), unescape(m[2] or m[3] or m[4] or "")) for m in ATTRIBUTE.finditer(rest)] if rest.strip() else []
             path = self.paths.setdefault((self.top.path, tag), len(self.paths) + 1)
-            self.top = _Element(tag, self.top, path, self._apart(tag, attrs))
+            out, named = self._apart(tag, attrs)
+            self.top = _Element(tag, self.top, path, out, named)
             self.made.append(self.top)
             self.open[tag] += 1
 
@@ -185,19 +188,35 @@ class _Nodes:
                 return
             at = at.parent
 
-    def _apart(self, tag: str, attrs: list[tuple[str, str]]) -> bool:
-        if tag in HIDDEN or tag in BOILERPLATE and not (tag == "header" and any(self.open[t] for t in ARTICLE)):
-            return True
-        if self.top.out:
-            return True
+    def _apart(self, tag: str, attrs: list[tuple[str, str]]) -> tuple[bool, bool]:
+        """Whether an element is boilerplate for certain, and whether by a name that may be the layout's."""
+        if self.top.out or tag in HIDDEN or tag in BOILERPLATE and not (tag == "header" and any(self.open[t] for t in ARTICLE)):
+            return True, False
         given = dict(attrs)
+        named = lambda names: any(_named(given.get(k), names) for k in ("class", "id"))
         if tag in WHOLE:
-            return tag == "article" and any(_named(given.get(k), {"comment", "comments"}) for k in ("class", "id"))
+            return tag == "article" and named(ALWAYS), False
         if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role") in ROLES:
-            return True
+            return True, False
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style") or ""):
-            return True
-        return tag not in INLINE and any(_named(given.get(k), NAMES) for k in ("class", "id"))
+            return True, False
+        return tag not in INLINE and named(ALWAYS), tag not in INLINE and named(NAMES)
+
+    def settle(self) -> None:
+        """Elements with a boilerplate name are left out, but for those that enclose an article or, where a page marks none, half of
+        the page's text: there the name is the layout's (content with-sidebar)."""
+        for element, text in zip(self.elements, self.texts):
+            element.held += len(text) * (not element.out)
+        around: set[_Element] = set()
+        for element in reversed(self.made[1:]):
+            element.parent.held += element.held
+            if element in around or element.tag in ARTICLE and not element.out:
+                around.add(element.parent)
+        for element in self.made[1:]:
+            named = element.named and element not in around and (bool(around) or element.held < HALF * self.made[0].held)
+            element.out = element.out or element.parent.out or named
+        for element in self.made:
+            element.held = 0.0
 
 
 def _named(value: str | None, names: set[str]) -> bool:
@@ -225,6 +244,7 @@ def _content(length: np.ndarray, marks: np.ndarray, linked: np.ndarray, path: np
 def main_text(page: str) -> str:
     """The article of one page, blocks joined by one space."""
     parser = _Nodes(page)
+    parser.settle()
     open_nodes = [k for k, (e, text) in enumerate(zip(parser.elements, parser.texts)) if not e.out and text and not text.isspace()]
     if not open_nodes:
         return ""

@@ -173,6 +173,9 @@ PAGES = {
     '<article><p>a, b.<script>var x="</article>"</script><!-- no <p>, no. --><aside>no, no.</aside><p title="a>b">z.</article><p>After': "a, b. z.",
     "<main><article><p>Long text, of it. More, still.</p></article><article class=comment><p>C, d, e, f, g, h.</p></article></main>": "Long text, of it. More, still.",
     "<article><p>x &lt;p&gt; 3 < 4, y.</p><p>  </p><table><tr><td>1<td>2</table></article>": "x <p> 3 < 4, y. 1 2",
+    "<div class='wrap has-sidebar'><div class='content no-ads'><h1>T</h1><p>Text of it, here. More, too, of it.</p></div><div class='side'>Short, aside.</div></div>": "T Text of it, here. More, too, of it.",
+    "<div class='page with-menu'><article><p>a, b.</p></article><ul class=menu><li>Home, work, and more of it, all day.</ul></div>": "a, b.",
+    "<p>Short, true.</p><div class=comments><p>Long, long, long comment, of a reader. Longer than all, by far.</p></div>": "Short, true.",
     "<p>unclosed, text. <a href='q": "unclosed, text.",
     "<head><title>T, t.</title><style>p{}</style>": "",
 }

@@ -31,10 +31,12 @@ def copurchase(baskets: DataFrame, k: int = 10, basket: str = "order_id", item:
     bought = baskets.select(F.col(basket).alias("basket"), F.col(item).cast("long").alias("item")).dropna().distinct()
     sized = bought.join(bought.groupBy("basket").agg(F.count("*").alias("size")), "basket")
     small = sized.where(F.col("size").between(2, large)).select("basket", "item")
-    pairs = (
-        small.join(small.withColumnRenamed("item", "partner"), "basket").where("item <> partner")
+    half = (
+        small.join(small.withColumnRenamed("item", "partner"), "basket").where("item < partner")
         .groupBy("item", "partner").agg(F.count("*").alias("n"))
     )
+    turned = F.struct(F.col("partner").alias("item"), F.col("item").alias("partner"), "n")
+    pairs = half.select(F.inline(F.array(F.struct("item", "partner", "n"), turned)))  # each pair is counted once, then given to both
     wide = sized.where(F.col("size") > large).select("basket", "item")
     products = wide.select("item").distinct()
     blocks = -(-products.count() // block)

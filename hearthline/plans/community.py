@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from hearthline.functions.bands import quality_grade
@@ -13,6 +15,7 @@ from hearthline.plans.fixtures import AS_OF, AS_OF_TS, TZ
 from hearthline.plans.oracle import MC, VS, WEEKDAYS
 from hearthline.plans.registry import Inputs, query
 from hearthline.schemas import CHANNELS_RAW, MESSAGES_RAW, VOICE_RAW, conform
+from hearthline.sources import stored_history
 from hearthline.sources.landing import flatten_channels
 from hearthline.sources.writers import union_evolving
 from hearthline.streaming.voice import sessionize_batch
@@ -764,6 +767,16 @@ def _(c: Inputs) -> DataFrame:
     return scd.scd2_merge(_incoming(c), _history(c), ["c_custkey"], V2)
 
 
+@query("h2_stored_merge", H2_SQL, floats="c_acctbal", ints="is_current")
+def _(c: Inputs) -> DataFrame:
+    """The same history kept in bucketed tables, of which the second load rewrites only what it changes."""
+    name = f"customer_history_{uuid.uuid4().hex}"
+    old = _history(c).drop(*scd.HISTORY)
+    stored_history.merge_load(c.spark, name, old, ["c_custkey"], V1, buckets=16)
+    stored_history.merge_load(c.spark, name, _incoming(c), ["c_custkey"], V2)
+    return stored_history.stored_history(c.spark, name)
+
+
 @query("h3_scd2_as_of", f"SELECT * FROM ({H2_SQL}) WHERE valid_from <= TIMESTAMP '2024-01-15 00:00:00' AND (valid_to IS NULL OR valid_to > TIMESTAMP '2024-01-15 00:00:00')",
        floats="c_acctbal", ints="is_current")
 def _(c: Inputs) -> DataFrame:

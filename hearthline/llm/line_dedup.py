@@ -1,11 +1,13 @@
 """Line dedup: a segment-partition edit join over distinct lines, then removal of every later occurrence.
 
-Built-in functions only. A line counts without the blanks around it, from MIN_CHARS characters on; shorter lines are never
-touched. Two lines are linked within THRESHOLD edits of characters. Of linked or equal lines the first occurrence (by doc_id,
-null first, then line number) stays: an occurrence goes if an equal line, or a line linked to it, occurs earlier.
+Built-in functions only. A line counts without the blanks around it; one of blanks alone never does. Two lines of MIN_CHARS
+characters or more are linked within THRESHOLD edits of characters; shorter ones, in which two edits can be another word, must be
+equal. Of linked or equal lines the first occurrence (by doc_id, null first, then line number) stays: an occurrence goes if an
+equal line, or a line linked to it, occurs earlier. Equal short lines are told apart by 96 bits of hashes.
 
 Null and empty texts have one empty line; texts of any length are split into their lines; rows of one doc_id and one text have
-the same places and lose the same lines; an empty table gives none; other columns stay as they are.
+the same places and lose the same lines; an empty table gives none; other columns stay as they are, but for those that the result
+names itself and those called _text, _key, _doc, _hash, _lines, _gone or _n_links. ``doc_id`` is an integer, or the text of one.
 """
 
 from __future__ import annotations
@@ -23,12 +25,12 @@ MOST_LINES = 500_000
 LETTERS = "etaoinsrhldumc"
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, pos, line and place (orders occurrences) of every line that counts."""
     return (
         docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(text_or_empty(), "\n")).alias("pos", "raw"))
         .select("doc_id", "text_hash", "pos", F.btrim("raw", F.lit(BLANK)).alias("line"))
-        .filter(F.length("line") >= min_chars)
+        .filter(F.col("line") != "")
         .withColumn("place", (F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(-(1 << 63)).cast("decimal(20,0)")) * 2147483648 + F.col("pos")).cast("decimal(38,0)"))
     )
 
@@ -43,7 +45,8 @@ def _segment(length: Column, i: Column, threshold: int) -> tuple[Column, Column]
 def _key(line: Column, length: Column, i: Column, shift: Column, threshold: int) -> Column:
     """The hash of what stands where a line of ``length`` characters would have its segment i, moved by ``shift``."""
     begin, size = _segment(length, i, threshold)
-    return F.xxhash64(i, length, F.substring(line, begin + shift + 1, size))
+    # 48 bits: candidates are checked, and there are many probes
+    return F.xxhash64(i, length, F.substring(line, begin + shift + 1, size)).bitwiseAND(F.lit((1 << 48) - 1))
 
 
 def _moves(threshold: int) -> list[tuple[int, int, int]]:
@@ -59,7 +62,8 @@ def _moves(threshold: int) -> list[tuple[int, int, int]]:
 
 def _tally(line: Column) -> Column:
     """The counts of the commonest letters, each modulo 4, in one small number."""
-    counts = [F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(3)), 2 * k) for k, c in enumerate(LETTERS)]
+    count = lambda c: F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+    counts = [F.shiftleft(count(c).bitwiseAND(F.lit(3)), 2 * k) for k, c in enumerate(LETTERS)]
     return reduce(lambda a, b: a.bitwiseOR(b), counts)
 
 
@@ -124,31 +128,37 @@ def links(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """Every row with ``n_lines``, ``n_removed``, ``n_links`` (links of its lines to other lines) and ``cleaned``, its text
     without the removed lines."""
-    lines = _lines(docs, min_chars)
-    distinct = lines.groupBy("line").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    lines = _lines(docs)
+    hashes = F.xxhash64("line").alias("h"), F.crc32("line").alias("c")
+    long = F.length("line") >= min_chars
+    # one exchange: long lines by their text, short ones by hashes
+    keys = F.when(long, F.col("line")).alias("line"), *[F.when(~long, h).alias(n) for h, n in zip(hashes, "hc")]
+    distinct = lines.select(*keys, "place").groupBy("line", "h", "c").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    distinct = distinct.filter("line IS NOT NULL OR n > 1")
     distinct = stage(distinct.withColumns({"id": F.monotonically_increasing_id(), "tally": _tally(F.col("line"))}), "lines")
-    edges = stage(links(distinct.select("id", "line", "tally"), threshold), "line-links")
+    edges = stage(links(distinct.filter("line IS NOT NULL").select("id", "line", "tally"), threshold), "line-links")
     ways = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     around = ways.join(distinct.select(F.col("id").alias("b"), "first"), "b").groupBy("a").agg(F.min("first").alias("near"), F.count("*").alias("links"))
     marked = distinct.join(around.withColumnRenamed("a", "id"), "id", "left").filter("n > 1 OR links > 0").select(
-        F.xxhash64("line").alias("h"), F.crc32("line").alias("c"), F.least("first", "near").alias("stays"), F.coalesce("links", F.lit(0)).alias("links")
+        F.coalesce("h", hashes[0]).alias("h"), F.coalesce("c", hashes[1]).alias("c"), F.least("first", "near").alias("stays"), F.coalesce("links", F.lit(0)).alias("links")
     )
-    spots = lines.select("doc_id", "text_hash", "pos", "place", F.xxhash64("line").alias("h"), F.crc32("line").alias("c")).join(marked, ["h", "c"])
+    spots = lines.select("doc_id", "text_hash", "pos", "place", *hashes).join(marked, ["h", "c"])
     by_doc = spots.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.when(F.col("place") > F.col("stays"), F.col("pos"))).alias("gone"),
         F.collect_set(F.struct("pos", "links")).alias("linked"),
     )
     found = by_doc.select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "gone", F.aggregate("linked", F.lit(0).cast("long"), lambda s, x: s + x.links).alias("n_links")
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("gone").alias("_gone"),
+        F.aggregate("linked", F.lit(0).cast("long"), lambda s, x: s + x.links).alias("_n_links"),
     )
     full = docs.withColumn("_text", text_or_empty()).withColumn("_key", F.xxhash64("text"))
     joined = full.join(found, (F.col("_key") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left").withColumn("_lines", F.split("_text", "\n"))
-    gone = F.coalesce("gone", F.array().cast("array<int>"))
+    gone = F.coalesce("_gone", F.array().cast("array<int>"))
     return joined.withColumns({
         "n_lines": F.size("_lines").cast("long"),
         "n_removed": F.size(gone).cast("long"),
-        "n_links": F.coalesce("n_links", F.lit(0)).cast("long"),
+        "n_links": F.coalesce("_n_links", F.lit(0)).cast("long"),
         "cleaned": F.when(F.size(gone) == 0, F.col("_text")).otherwise(
             F.array_join(F.filter("_lines", lambda x, i: ~F.array_contains(gone, i)), "\n")
         ),
-    }).drop("_text", "_key", "_doc", "_hash", "_lines", "gone")
+    }).drop("_text", "_key", "_doc", "_hash", "_lines", "_gone", "_n_links")

@@ -41,19 +41,19 @@ def test_band_step(spark, threshold):
 
 def plain(rows, threshold=ld.THRESHOLD, least=ld.MIN_CHARS):
     spots = [((-(1 << 63) if d is None else d, k), x.strip(" \t\n\x0b\x0c\r")) for d, t in rows for k, x in enumerate((t or "").split("\n"))]
-    spots = [(p, x) for p, x in spots if len(x) >= least]
+    spots = [(p, x) for p, x in spots if x]
     first: dict[str, tuple] = {}
     for p, x in spots:
         first[x] = min(p, first.get(x, p))
-    near = {x: [y for y in first if y != x and abs(len(x) - len(y)) <= threshold and distance(x, y) <= threshold] for x in first}
+    near = {x: [y for y in first if y != x and min(len(x), len(y)) >= least and abs(len(x) - len(y)) <= threshold and distance(x, y) <= threshold] for x in first}
     out = []
     for d, t in rows:
         kept, links, parts = [], 0, (t or "").split("\n")
         for k, raw in enumerate(parts):
             x, place = raw.strip(" \t\n\x0b\x0c\r"), (-(1 << 63) if d is None else d, k)
-            if len(x) >= least:
+            if x:
                 links += len(near[x])
-            if len(x) < least or place <= min(first[y] for y in [x, *near[x]]):
+            if not x or place <= min(first[y] for y in [x, *near[x]]):
                 kept.append(raw)
         out.append((d, len(parts), len(parts) - len(kept), links, "\n".join(kept)))
     return sorted(out, key=repr)
@@ -75,3 +75,12 @@ def test_same_as_plain(spark, monkeypatch, most):
 
 def test_empty_table(spark):
     assert ld.line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_lines_and_clashing_columns(spark):
+    menu = "Home | News\nSubscribe to our letter\n"
+    rows = [(str(k), f"{menu}Story number {k} of the day\n  Share \n\n", "x", "y", "z") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, gone string, n_links string, h string").repartition(3)
+    got = {int(r.doc_id): r for r in ld.line_dedup(docs).collect()}
+    assert got[0].cleaned == rows[0][1] and {(r.gone, r.h, r.n_links) for r in got.values()} == {("x", "z", 0)}
+    assert all(got[k].cleaned == f"Story number {k} of the day\n\n" and got[k].n_removed == 3 for k in range(1, 30))

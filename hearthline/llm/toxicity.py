@@ -1,9 +1,11 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over windows of words.
 
 A word enters as its own hashed embedding beside the mean of its hashed character trigrams. Windows of WINDOW words begin
-every STRIDE words and cover the whole text, whatever its length; a document's logit is the log-sum-exp of its windows', so a
-document is toxic if some window is. The network is trained in numpy on a bounded sample of labelled documents
-(TRAIN_DOCS a class, TRAIN_WORDS words each at most); everything else covers all rows.
+every STRIDE words and cover the whole text, whatever its length; a document's logit is the log-sum-exp of its windows' less a
+learned multiple of the logarithm of their number, so a document is toxic if some window is, and a long one not because it is long.
+The network is trained in numpy on a bounded sample of labelled documents of all lengths (TRAIN_DOCS a class); of one that has more
+than TRAIN_WINDOWS windows, or more than TRAIN_CHARS characters, it sees TRAIN_WINDOWS windows spread evenly over the whole text
+(words cut at WORD_BYTES bytes there). Everything else covers all rows and whole texts.
 
 Null, empty and blank texts are one empty window and get the model's score of it. Labels of a document that occur more than
 once count as toxic if one says so. Without labelled documents of both classes every score is the share of toxic ones (0 if
@@ -18,12 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from hearthline.llm.common import Words, lowered, mix, pieces, remainder, utf8
+from hearthline.llm.common import Words, lowered, mix, pieces, remainder, stage, utf8
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM, BUCKETS, ATTENTION = 8, 8, 16, 4096, 8
 #: Bounds of the labelled sample, and of training.
-TRAIN_DOCS, TRAIN_WORDS, STEPS, BATCH, RATE = 2_000, 1_000, 300, 32, 0.015
+TRAIN_DOCS, TRAIN_WINDOWS, TRAIN_CHARS, WORD_BYTES = 2_000, 48, 24_000, 64
+STEPS, BATCH, RATE = 300, 32, 0.015
 #: Part of the words that hide their own embedding in training, so that characters count, and the decay of all embeddings.
 HIDE, DECAY = 0.3, 0.0005
 
@@ -56,7 +59,7 @@ class Inputs:
         self.many = sizes
         self.first = np.cumsum(sizes) - sizes
         n = words.counts
-        windows = np.maximum(-(-(n - WINDOW) // STRIDE), 0) + 1
+        self.windows = windows = windows_of(n)
         self.doc = np.repeat(np.arange(len(n)), windows)
         nth = np.arange(len(self.doc)) - np.repeat(np.cumsum(windows) - windows, windows)
         begin = words.first[:-1][self.doc] + nth * STRIDE
@@ -72,7 +75,7 @@ def new_params(rng: np.random.Generator) -> Params:
     for way in "fb":
         out |= {f"w{way}": draw(d, 3 * HIDDEN, scale=d**-0.5), f"u{way}": draw(HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5), f"c{way}": np.zeros(3 * HIDDEN, np.float32)}
     out |= {"attend": draw(2 * HIDDEN, ATTENTION, scale=0.3), "query": draw(ATTENTION, scale=0.5)}
-    return out | {"out": draw(2 * HIDDEN, scale=0.5), "bias": np.full(1, -2, np.float32)}
+    return out | {"out": draw(2 * HIDDEN, scale=0.5), "bias": np.full(1, -2, np.float32), "spread": np.ones(1, np.float32)}
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -119,23 +122,38 @@ def forward(p: Params, x: Inputs, keep: dict | None = None) -> np.ndarray:
     return pooled @ p["out"] + p["bias"][0]
 
 
-def pooled_logits(logits: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """Log-sum-exp of each document's windows."""
-    top = np.full(n, -np.inf)
+def windows_of(n_words: np.ndarray) -> np.ndarray:
+    """How many windows cover so many words."""
+    return np.maximum(-(-(n_words - WINDOW) // STRIDE), 0) + 1
+
+
+def pooled_logits(p: Params, logits: np.ndarray, doc: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Log-mean-exp of each document's windows seen, plus what the number of all its ``windows`` adds: with a spread of 0 that
+    makes the log-sum-exp, with 1 the mean stays."""
+    top = np.full(len(windows), -np.inf)
     np.maximum.at(top, doc, logits)
-    return top + np.log(np.bincount(doc, np.exp(logits - top[doc]), n))
+    seen = np.bincount(doc, minlength=len(windows))
+    mean = top + np.log(np.bincount(doc, np.exp(logits - top[doc]), len(windows)) / seen)
+    return mean + (1 - p["spread"][0]) * np.log(windows)
 
 
-def gradients(p: Params, x: Inputs, labels: np.ndarray) -> tuple[float, Params]:
-    """Mean cross-entropy over documents, and its derivative for every parameter."""
+def gradients(p: Params, x: Inputs, labels: np.ndarray, doc: np.ndarray | None = None, windows: np.ndarray | None = None) -> tuple[float, Params]:
+    """Mean cross-entropy over documents, and its derivative for every parameter. ``doc`` and ``windows`` give each window's
+    document and how many windows a document has, where not all are among the inputs."""
     keep: dict = {}
     logits = forward(p, x, keep)
     n = len(labels)
-    whole = pooled_logits(logits, x.doc, n)
+    doc = x.doc if doc is None else doc
+    seen = np.bincount(doc, minlength=n)
+    windows = seen if windows is None else windows
+    whole = pooled_logits(p, logits, doc, windows)
     loss = float(np.mean(np.logaddexp(0, whole) - labels * whole))
-    d_logit = ((_sigmoid(whole) - labels)[x.doc] * np.exp(logits - whole[x.doc]) / n).astype(np.float32)
+    wrong = (_sigmoid(whole) - labels) / n
+    share = np.exp(logits - (whole - (1 - p["spread"][0]) * np.log(windows))[doc]) / seen[doc]
+    d_logit = (wrong[doc] * share).astype(np.float32)
     g = {k: np.zeros_like(v) for k, v in p.items()}
     g["out"], g["bias"] = keep["pooled"].T @ d_logit, np.array([d_logit.sum()], np.float32)
+    g["spread"] = np.array([-(wrong * np.log(windows)).sum()], np.float32)
     d_pooled = d_logit[:, None] * p["out"]
     d_states = keep["weight"][:, :, None] * d_pooled
     d_weight = np.einsum("nh,tnh->tn", d_pooled, keep["states"])
@@ -180,19 +198,21 @@ def inputs_of(texts: list[str]) -> Inputs:
     return Inputs(Words(plain(flat), bounds))
 
 
-def seeded(p: Params, texts: list[str], labels: np.ndarray) -> None:
+def seeded(p: Params, texts: list[list[str]], labels: np.ndarray) -> None:
     """Begins the first place of every embedding with how far the documents of a bucket lean to toxic, in deviations."""
-    for kind in ("word", "char"):
-        seen = np.zeros((2, BUCKETS))
-        for text, label in zip(texts, labels):
-            x = inputs_of([text])
-            seen[int(label), np.unique(x.word if kind == "word" else x.chars)] += 1
-        expected = seen.sum(0) * labels.mean()
-        p[kind][:, 0] = np.clip((seen[1] - expected) / np.sqrt(expected + 1), -4, 4) / 2
-
-
-def train(texts: list[str], labels: np.ndarray, seed: int = 7, steps: int = STEPS) -> Params:
-    """Adam over batches with as many documents of either class."""
+    seen = {kind: np.zeros((2, BUCKETS)) for kind in ("word", "char")}
+    for parts, label in zip(texts, labels):
+        x = inputs_of(parts)
+        seen["word"][int(label), np.unique(x.word)] += 1
+        seen["char"][int(label), np.unique(x.chars)] += 1
+    for kind, counts in seen.items():
+        expected = counts.sum(0) * labels.mean()
+        p[kind][:, 0] = np.clip((counts[1] - expected) / np.sqrt(expected + 1), -4, 4) / 2
+
+
+def train(texts: list[list[str]], labels: np.ndarray, windows: np.ndarray, seed: int = 7, steps: int = STEPS) -> Params:
+    """Adam over batches with as many documents of either class; a document is a list of parts, a whole text or single windows of
+    one that has so many ``windows``."""
     rng = np.random.default_rng(seed)
     p = new_params(rng)
     seeded(p, texts, labels)
@@ -200,9 +220,10 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, steps: int = STEP
     classes = [np.flatnonzero(labels == c) for c in (0, 1)]
     for step in range(1, steps + 1):
         chosen = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])
-        x = inputs_of([texts[i] for i in chosen])
+        x = inputs_of([part for i in chosen for part in texts[i]])
+        doc = np.repeat(np.arange(len(chosen)), [len(texts[i]) for i in chosen])[x.doc]
         x.shown = (rng.random(len(x.word)) >= HIDE).astype(np.float32)
-        _, g = gradients(p, x, labels[chosen])
+        _, g = gradients(p, x, labels[chosen], doc, windows[chosen])
         norm = np.sqrt(sum(float((x**2).sum()) for x in g.values()))
         rate = RATE * min(1, 2 * (1 - step / (steps + 1)))
         for k in p:
@@ -223,14 +244,33 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Params | None, float]:
     """The network, or None without documents of both classes, and the share of toxic ones among the labelled rows."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
     share = known.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
-    # twice as many labels as documents that are wanted, as some are too long or have no document
     sample = [known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * TRAIN_DOCS) for c in (0, 1)]
-    few = F.broadcast(sample[0].unionByName(sample[1]))
-    short = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)) <= TRAIN_WORDS
-    found = docs.select("doc_id", "text").join(few, "doc_id").filter(short)
-    rows = [r for c in (0, 1) for r in found.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(TRAIN_DOCS).collect()]
-    y = np.array([r.label for r in rows])
-    return (train([r.text or "" for r in rows], y) if len(set(y.tolist())) == 2 else None), float(share)
+    few = F.broadcast(sample[0].unionByName(sample[1]))  # twice as many labels as documents wanted, as some have no document
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(few, "doc_id")
+    key = [F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t")]
+    shown = T.StructType.fromDDL("label int, h long, t long, parts array<string>, windows long")
+    parts = stage(found.select(F.col("label").cast("int").alias("label"), *key, "text").mapInArrow(_shown, shown), "toxic-sample")
+    rows = [r for c in (0, 1) for r in parts.filter(F.col("label") == c).orderBy("h", "t").limit(TRAIN_DOCS).collect()]
+    y, windows = (np.array([r[c] for r in rows]) for c in ("label", "windows"))
+    return (train([r.parts for r in rows], y, windows) if len(set(y.tolist())) == 2 else None), float(share)
+
+
+def _shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What training sees of each document: its text, or windows spread evenly over a long one, and how many it has."""
+    for batch, texts in pieces(batches, "text", 1 << 20):
+        flat, bounds = utf8(texts)
+        words = Words(plain(flat), bounds)
+        counts, parts = windows_of(words.counts), []
+        for i, text in enumerate(texts.to_pylist()):
+            if counts[i] <= TRAIN_WINDOWS and len(text) <= TRAIN_CHARS:
+                parts.append([text])
+                continue
+            at = np.unique(np.linspace(0, counts[i] - 1, min(counts[i], TRAIN_WINDOWS)).astype(int)) * STRIDE + words.first[i]
+            spans = [range(k, min(k + WINDOW, words.first[i + 1])) for k in at]
+            cut = lambda j: words.flat[words.starts[j] : min(words.ends[j], words.starts[j] + WORD_BYTES)].tobytes().decode("utf-8", "ignore")
+            parts.append([" ".join(map(cut, span)) for span in spans])
+        columns = [batch.column(c) for c in ("label", "h", "t")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.list_(pa.string())), pa.array(counts.astype(np.int64))], ["label", "h", "t", "parts", "windows"])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -246,7 +286,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
             else:
                 flat, bounds = utf8(texts)
                 x = Inputs(Words(plain(flat), bounds))
-                scores = _sigmoid(pooled_logits(forward(p, x).astype(np.float64), x.doc, len(texts)))
+                scores = _sigmoid(pooled_logits(p, forward(p, x).astype(np.float64), x.doc, x.windows))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())])

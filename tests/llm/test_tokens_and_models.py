@@ -121,11 +121,20 @@ def test_toxicity(spark, odd, monkeypatch):
             text.insert(rng.randrange(len(text)), rng.choice(["badone", "badtwo"]))
         rows.append((k, " ".join(text)))
         labels.append((k, int(bad)))
+    for k in range(400, 460):  # long ones: more windows than training sees, or than any training document has
+        held = zlib.crc32(str(k).encode()) % 5 == 0
+        text = rng.choices(words, k=20_000 if held else 4_000)
+        for at in range(0, len(text) * (k % 2), 60):
+            text[at] = "badone"
+        rows.append((k, " ".join(text)))
+        labels.append((k, k % 2))
     monkeypatch.setattr(toxicity, "STEPS", 150)
     made = spark.createDataFrame(labels + [(100, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     got = toxicity.toxicity(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), made).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
-    held = [r for r in got if r.held_out and r.doc_id and r.doc_id >= 100]
+    long = [r for r in got if r.held_out and r.doc_id and r.doc_id >= 400]
+    assert {r.doc_id % 2 for r in long} == {0, 1} and all(r.predicted == r.doc_id % 2 for r in long)
+    held = [r for r in got if r.held_out and r.doc_id and 100 <= r.doc_id < 400]
     assert sum(r.predicted == (r.doc_id % 3 == 0) for r in held) >= 0.9 * len(held)
     none = toxicity.toxicity(spark.createDataFrame(rows[:5], "doc_id long, text string"), made.limit(0)).collect()
     assert {r.score for r in none} == {0.0}

@@ -113,27 +113,43 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_STEP = 1 << 12
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    if base not in _POWERS or len(_POWERS[base][0]) <= n:
-        size = max(n + 1, 1 << 16)
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _POWERS[base] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-    return _POWERS[base]
+def _run_of_powers(base: int, n: int) -> np.ndarray:
+    """1, base, base ** 2 and so on, modulo 2 ** 64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+#: Powers below _STEP of each base and of its inverse; others are products with a power of base ** _STEP, made as they are needed.
+_LOW = {b: _run_of_powers(b, _STEP) for base in _BASES for b in (base, pow(base, -1, 1 << 64))}
+
+
+def _powers(base: int, at: np.ndarray, n: int) -> np.ndarray:
+    """base to the power of places ``at``, all below n."""
+    high = _run_of_powers(pow(base, _STEP, 1 << 64), n // _STEP + 1)
+    return _LOW[base][at % _STEP] * high[at // _STEP]
+
+
+def _all_powers(base: int, n: int) -> np.ndarray:
+    high = _run_of_powers(pow(base, _STEP, 1 << 64), n // _STEP + 1)
+    return np.multiply.outer(high, _LOW[base]).ravel()[:n]
 
 
 def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans that depend on their bytes alone: two polynomials, from running sums."""
+    """64-bit hashes of byte spans that depend on their bytes alone: two polynomials, from running sums. Nothing as long as the
+    texts outlives the call."""
     out = []
     for base in _BASES:
-        up, down = _powers(base, len(flat))
         sums = np.zeros(len(flat) + 1, np.uint64)
-        np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[: len(flat)], out=sums[1:])
-        out.append((sums[ends] - sums[starts]) * down[starts])
+        terms = flat.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= _all_powers(base, len(flat))
+        np.cumsum(terms, out=sums[1:])
+        out.append((sums[ends] - sums[starts]) * _powers(pow(base, -1, 1 << 64), starts, len(flat) + 1))
     return mix(out[0] ^ mix(out[1] + (ends - starts).astype(np.uint64)))
 
 

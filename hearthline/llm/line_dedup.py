@@ -135,12 +135,14 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     keys = F.when(long, F.col("line")).alias("line"), *[F.when(~long, h).alias(n) for h, n in zip(hashes, "hc")]
     distinct = lines.select(*keys, "place").groupBy("line", "h", "c").agg(F.min("place").alias("first"), F.count("*").alias("n"))
     distinct = distinct.filter("line IS NOT NULL OR n > 1")
-    distinct = stage(distinct.withColumns({"id": F.monotonically_increasing_id(), "tally": _tally(F.col("line"))}), "lines")
+    # with the hashes of long lines too, so that no later join carries their texts
+    whole = {n: F.coalesce(n, h) for h, n in zip(hashes, "hc")}
+    distinct = stage(distinct.withColumns({**whole, "id": F.monotonically_increasing_id(), "tally": _tally(F.col("line"))}), "lines")
     edges = stage(links(distinct.filter("line IS NOT NULL").select("id", "line", "tally"), threshold), "line-links")
     ways = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     around = ways.join(distinct.select(F.col("id").alias("b"), "first"), "b").groupBy("a").agg(F.min("first").alias("near"), F.count("*").alias("links"))
     marked = distinct.join(around.withColumnRenamed("a", "id"), "id", "left").filter("n > 1 OR links > 0").select(
-        F.coalesce("h", hashes[0]).alias("h"), F.coalesce("c", hashes[1]).alias("c"), F.least("first", "near").alias("stays"), F.coalesce("links", F.lit(0)).alias("links")
+        "h", "c", F.least("first", "near").alias("stays"), F.coalesce("links", F.lit(0)).alias("links")
     )
     spots = lines.select("doc_id", "text_hash", "pos", "place", *hashes).join(marked, ["h", "c"])
     by_doc = spots.groupBy("doc_id", "text_hash").agg(

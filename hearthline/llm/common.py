@@ -139,18 +139,27 @@ def _all_powers(base: int, n: int) -> np.ndarray:
     return np.multiply.outer(high, _LOW[base]).ravel()[:n]
 
 
+class SpanHasher:
+    """64-bit hashes of byte spans that depend on their bytes alone: two polynomials, from running sums made once for the bytes."""
+
+    def __init__(self, flat: np.ndarray):
+        self.n, self.sums = len(flat), []
+        for base in _BASES:
+            sums = np.zeros(len(flat) + 1, np.uint64)
+            terms = flat.astype(np.uint64)
+            terms += np.uint64(1)
+            terms *= _all_powers(base, len(flat))
+            np.cumsum(terms, out=sums[1:])
+            self.sums.append(sums)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        low, high = ((s[ends] - s[starts]) * _powers(pow(b, -1, 1 << 64), starts, self.n + 1) for b, s in zip(_BASES, self.sums))
+        return mix(low ^ mix(high + (ends - starts).astype(np.uint64)))
+
+
 def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans that depend on their bytes alone: two polynomials, from running sums. Nothing as long as the
-    texts outlives the call."""
-    out = []
-    for base in _BASES:
-        sums = np.zeros(len(flat) + 1, np.uint64)
-        terms = flat.astype(np.uint64)
-        terms += np.uint64(1)
-        terms *= _all_powers(base, len(flat))
-        np.cumsum(terms, out=sums[1:])
-        out.append((sums[ends] - sums[starts]) * _powers(pow(base, -1, 1 << 64), starts, len(flat) + 1))
-    return mix(out[0] ^ mix(out[1] + (ends - starts).astype(np.uint64)))
+    """The hashes of spans of ``flat``. Nothing as long as the texts outlives the call."""
+    return SpanHasher(flat)(starts, ends)
 
 
 def small_enough(df: DataFrame, rows: int) -> bool:

@@ -8,7 +8,9 @@ the name behind those. In each merged order adjacent prefixes are compared, whic
 phrases that begins elsewhere too.
 
 A run of LENGTH bytes or more is repeated. Strings that only overlap an end of a run are held against all others with the same
-inner phrases by the hash of their bytes, so the result is exact.
+inner phrases, BLOCK neighbouring starts at a time: if the bytes that they have in common occur once, none of them is repeated;
+if the bytes that they cover together occur twice, all are. In the blocks in between, where a run ends, each string is held
+against the others by the hash of its bytes, so the result is exact.
 
 Null and empty texts have no bytes; texts below LENGTH bytes lose nothing; equal texts of LENGTH bytes or more lose everything;
 an empty table gives none; repeated rows are copies of each other; other columns are not carried.
@@ -24,19 +26,19 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from hearthline.llm.common import pieces, span_hashes, stage, text_or_empty, utf8
+from hearthline.llm.common import SpanHasher, pieces, stage, text_or_empty, utf8
 
 LENGTH = 400
-GRAM, SPAN = 16, 128
+GRAM, SPAN, BLOCK = 16, 128, 16
 
 
-def anchors(flat: np.ndarray, gram: int, span: int) -> np.ndarray:
+def anchors(flat: np.ndarray, gram: int, span: int, hashes: SpanHasher | None = None) -> np.ndarray:
     """Places whose gram has the least hash in some run of ``span`` neighbouring grams (ties: the first of the run)."""
     n = len(flat) - gram + 1
     if n < span:
         return np.empty(0, np.int64)
     starts = np.arange(n)
-    h = span_hashes(flat, starts, starts + gram)
+    h = (hashes or SpanHasher(flat))(starts, starts + gram)
     # rank of each place by hash, then by place: the least rank of a run is its first least hash
     by_rank = np.lexsort((starts, h))
     rank = np.empty(n, np.int64)
@@ -54,8 +56,9 @@ def anchors(flat: np.ndarray, gram: int, span: int) -> np.ndarray:
 
 def _parted(data: np.ndarray, gram: int, span: int) -> tuple[np.ndarray, np.ndarray]:
     """Anchors of one text, and the hash of each phrase: from an anchor to the end of the next one's gram."""
-    at = anchors(data, gram, span)
-    return at, span_hashes(data, at[:-1], at[1:] + gram).view(np.int64) if len(at) > 1 else np.empty(0, np.int64)
+    hashes = SpanHasher(data)
+    at = anchors(data, gram, span, hashes)
+    return at, hashes(at[:-1], at[1:] + gram).view(np.int64) if len(at) > 1 else np.empty(0, np.int64)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -212,95 +215,153 @@ def _suffixes(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, "d long, i int, s0 long, s1 long, s2 long, ahead array<bigint>")
 
 
-def _windows(data: np.ndarray, runs: dict[int, int], length: int, gram: int, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For a text: first and last start of each group of strings of ``length`` bytes with the same inner phrases, if those occur
-    elsewhere; the hash of that inside; and, by start, whether a run of phrases that occurs elsewhere covers the string."""
-    at, _ = _parted(data, gram, span)
-    n = len(data) - length + 1
-    none = np.empty(0, np.int64)
+def _sure(at: np.ndarray, runs: dict[int, int], n: int, length: int, gram: int) -> np.ndarray:
+    """By start, whether a run of phrases that occurs elsewhere covers the string of ``length`` bytes, of which there are n."""
     if n <= 0 or len(at) < 2:
-        return none, none, none, np.zeros(max(n, 0), bool)
+        return np.zeros(max(n, 0), bool)
     starts = np.arange(n)
     run = np.zeros(len(at), np.int64)
     run[list(runs)] = list(runs.values())
     reach = np.where(run > 0, at[np.minimum(np.arange(len(at)) + run, len(at) - 1)] + gram, 0)
     best = np.maximum.accumulate(reach)
     before = np.searchsorted(at, starts, "right") - 1
-    sure = (before >= 0) & (best[np.maximum(before, 0)] >= starts + length)
+    return (before >= 0) & (best[np.maximum(before, 0)] >= starts + length)
+
+
+def _groups(data: np.ndarray, at: np.ndarray, runs: dict[int, int], length: int, gram: int, span: int) -> tuple[np.ndarray, ...]:
+    """For a text: first and last start of each group of strings of ``length`` bytes with the same inner phrases, if those occur
+    elsewhere; where that inside begins; its hash; and whether some string of the group is not covered by a run."""
+    n = len(data) - length + 1
+    none = np.empty(0, np.int64)
+    if n <= 0 or len(at) < 2:
+        return none, none, none, none, none
+    starts, hashes = np.arange(n), SpanHasher(data)
+    sure = _sure(at, runs, n, length, gram)
+    run = np.zeros(len(at), np.int64)
+    run[list(runs)] = list(runs.values())
     # the anchors that lie inside for certain: from the least of the first span of grams to the least of the last
-    first, last = _least_in(data, at, starts, gram, span), _least_in(data, at, starts + length - gram - span + 1, gram, span)
+    keys = hashes(at, at + gram)
+    first, last = _least_in(keys, at, starts, span), _least_in(keys, at, starts + length - gram - span + 1, span)
     inner = run[first] >= last - first
     change = np.flatnonzero(np.diff(first) | np.diff(last)) + 1
     lo, hi = np.concatenate([[0], change]), np.concatenate([change, [n]]) - 1
     ok = inner[lo]
     lo, hi = lo[ok], hi[ok]
-    return lo, hi, span_hashes(data, at[first[lo]], at[last[lo]] + gram).view(np.int64), sure
+    covered = np.concatenate([[0], np.cumsum(sure)])
+    return lo, hi, at[first[lo]], hashes(at[first[lo]], at[last[lo]] + gram).view(np.int64), covered[hi + 1] - covered[lo] < hi + 1 - lo
 
 
-def _least_in(data: np.ndarray, at: np.ndarray, begin: np.ndarray, gram: int, span: int) -> np.ndarray:
-    """The number of the anchor that has the least gram hash from ``begin`` on among ``span`` grams (ties: the first)."""
-    h = span_hashes(data, at, at + gram)
+def _blocks(hashes: SpanHasher, lo: np.ndarray, hi: np.ndarray, inside: np.ndarray, length: int, block: int) -> tuple[np.ndarray, ...]:
+    """The groups' starts in blocks that stand alike before their insides: first and last start, the hash of the bytes that all
+    strings of a whole block have in common, the hash of those that they cover together, and whether the block is whole."""
+    low, top = (lo - inside) // block, (hi - inside) // block
+    many = top - low + 1
+    nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    begin = np.repeat(inside, many) + (np.repeat(low, many) + nth) * block
+    first, last = np.maximum(begin, np.repeat(lo, many)), np.minimum(begin + block - 1, np.repeat(hi, many))
+    whole = (first == begin) & (last == begin + block - 1)
+    return first, last, hashes(begin + block - 1, begin + length).view(np.int64), hashes(first, last + length).view(np.int64), whole
+
+
+def _least_in(keys: np.ndarray, at: np.ndarray, begin: np.ndarray, span: int) -> np.ndarray:
+    """The number of the anchor that has the least of ``keys`` from ``begin`` on among ``span`` grams (ties: the first)."""
     low, top = np.searchsorted(at, begin), np.searchsorted(at, begin + span)
     best = low.copy()
     for k in range(1, int((top - low).max())):
         other = np.minimum(low + k, len(at) - 1)
-        better = (low + k < top) & (h[other] < h[best])
+        better = (low + k < top) & (keys[other] < keys[best])
         best = np.where(better, other, best)
     return best
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, span: int = SPAN) -> DataFrame:
+def _spans(found: list[dict]) -> np.ndarray:
+    """All numbers from each ``lo`` to its ``hi``."""
+    lo, hi = (np.array([x[c] for x in found], np.int64) for c in ("lo", "hi"))
+    many = hi - lo + 1
+    return np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+
+
+def _twice(keys: DataFrame, name: str) -> DataFrame:
+    """The values of a column that occur more than once."""
+    return keys.groupBy(name).agg(F.count("*").alias("n")).filter("n > 1").select(name)
+
+
+def _open_hits(texts: DataFrame, spots: DataFrame, length: int, block: int) -> DataFrame:
+    """d, lo and hi: spans of starts of repeated strings, among ``spots`` (d, lo, hi, place of the inside, open) of ``texts``
+    (d, text). Only open spots are asked for; the others answer them."""
+
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, datas in _texts(batches):
+            for data, d, found in zip(datas, batch.column("d").to_pylist(), batch.column("spots").to_pylist()):
+                lo, hi, inside = (np.array([x[c] for x in found], np.int64) for c in ("lo", "hi", "place"))
+                first, last, core, hull, whole = _blocks(SpanHasher(data), lo, hi, inside, length, block)
+                asked = np.repeat(np.array([x["open"] for x in found], bool), (hi - inside) // block - (lo - inside) // block + 1)
+                columns = [pa.array(np.full(len(first), d)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(core), pa.array(hull, mask=~whole), pa.array(asked)]
+                yield pa.RecordBatch.from_arrays(columns, ["d", "lo", "hi", "core", "hull", "open"])
+
+    def strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, datas in _texts(batches):
+            for data, d, found in zip(datas, batch.column("d").to_pylist(), batch.column("spots").to_pylist()):
+                at = _spans(found)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), d)), pa.array(at.astype(np.int32)), pa.array(SpanHasher(data)(at, at + length).view(np.int64))], ["d", "start", "h"])
+
+    listed = spots.groupBy("d").agg(F.collect_list(F.struct("lo", "hi", "place", "open")).alias("spots"))
+    blocks = texts.join(listed, "d").select("d", "text", "spots").mapInArrow(blocks_of, "d long, lo int, hi int, core long, hull long, open boolean")
+    blocks = stage(blocks, "string-blocks")
+    covered = _twice(blocks.filter("hull IS NOT NULL"), "hull").withColumn("all", F.lit(True))
+    shared = stage(blocks.join(_twice(blocks, "core"), "core", "left_semi").join(covered, "hull", "left").withColumn("all", F.coalesce("all", F.lit(False))), "string-blocks")
+    mixed = shared.filter("open AND NOT all")
+    # what can equal a string of a mixed block stands in a block with the same common bytes; of equal blocks one is enough
+    others = shared.filter("all OR NOT open").join(mixed.select("core").distinct(), "core", "left_semi").select("d", "lo", "hi", "hull")
+    one = others.filter("hull IS NOT NULL").groupBy("hull").agg(F.min_by(F.struct("d", "lo", "hi"), F.struct("d", "lo")).alias("s")).select("s.*")
+    tested = mixed.select("d", "lo", "hi").unionByName(one).unionByName(others.filter("hull IS NULL").drop("hull"))
+    listed = tested.groupBy("d").agg(F.collect_list(F.struct("lo", "hi")).alias("spots"))
+    strings = stage(texts.join(listed, "d").select("d", "text", "spots").mapInArrow(strings_of, "d long, start int, h long"), "strings")
+    single = strings.join(_twice(strings, "h"), "h", "left_semi").select("d", F.col("start").alias("lo"), F.col("start").alias("hi"))
+    return shared.filter("open AND all").select("d", "lo", "hi").unionByName(single)
+
+
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, span: int = SPAN, block: int = BLOCK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that are left) of every document."""
     assert 2 * span + gram <= length, "a string must hold two separate spans of grams"
+    assert block < length, "the strings of a block must have bytes in common"
     keyed = docs.select("doc_id", text_or_empty().alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
     parted = stage(_phrases(keyed, gram, span).withColumn("d", F.monotonically_increasing_id()), "phrases")
     runs = longest_runs(parted, length, gram)
     by_text = runs.groupBy("d").agg(F.collect_list(F.struct("i", "run")).alias("runs"))
-    known = stage(parted.select("d", "digest", "copies").join(by_text, "d", "left").drop("d"), "text-runs")
-    texts = keyed.join(known, "digest")
+    known = stage(parted.select("d", "digest", "copies", "places").join(by_text, "d", "left").withColumn("places", F.when(F.col("runs").isNotNull(), F.col("places"))), "text-runs")
 
     # the groups of strings whose inner phrases occur elsewhere; those that no run covers are open
     def groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, datas in _texts(batches):
-            for data, digest, found in zip(datas, batch.column("digest"), batch.column("runs").to_pylist()):
-                lo, hi, inside, sure = _windows(data, {r["i"]: r["run"] for r in found}, length, gram, span)
+            for data, d, copies, places, found in zip(datas, *(batch.column(c).to_pylist() for c in ("d", "copies", "places", "runs"))):
+                lo, hi, place, inside, some = _groups(data, np.array(places, np.int64), {r["i"]: r["run"] for r in found}, length, gram, span)
                 if len(lo):
-                    covered = np.concatenate([[0], np.cumsum(sure)])
-                    some = covered[hi + 1] - covered[lo] < hi + 1 - lo
-                    columns = [pa.array([digest.as_py()] * len(lo), pa.binary()), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(inside), pa.array(some)]
-                    yield pa.RecordBatch.from_arrays(columns, ["digest", "lo", "hi", "inside", "open"])
-
-    with_runs = stage(texts.filter("runs IS NOT NULL").select("digest", "text", "copies", "runs").dropDuplicates(["digest"]), "repeated-texts")
-    spots = stage(with_runs.mapInArrow(groups_of, "digest binary, lo int, hi int, inside long, open boolean"), "string-groups")
-    # a group is looked at byte by byte, in all its texts, where it is open in a text that has no copy
-    single = with_runs.filter("copies = 1").select("digest")
-    asked = spots.filter("open").join(single, "digest", "left_semi").select("inside").distinct()
-    shared = spots.groupBy("inside").agg(F.count("*").alias("n")).filter("n > 1").join(asked, "inside", "left_semi").select("inside")
-    chosen = spots.join(shared, "inside", "left_semi").groupBy("digest").agg(F.collect_list(F.struct("lo", "hi")).alias("spots"))
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, datas in _texts(batches):
-            for data, digest, found in zip(datas, batch.column("digest"), batch.column("spots").to_pylist()):
-                at = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in found])
-                h = span_hashes(data, at, at + length).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([digest.as_py()] * len(at), pa.binary()), pa.array(at.astype(np.int32)), pa.array(h)], ["digest", "start", "h"])
-
-    tested = stage(with_runs.select("digest", "text").join(chosen, "digest").mapInArrow(strings, "digest binary, start int, h long"), "strings")
-    twice = tested.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    hits = tested.join(twice, "h", "left_semi").join(single, "digest", "left_semi").groupBy("digest").agg(F.collect_list("start").alias("starts"))
-    facts = known.join(hits, "digest", "left")
+                    # a text that has a copy loses everything, so nothing is asked of it
+                    columns = [pa.array(np.full(len(lo), d)), *(pa.array(x.astype(np.int32)) for x in (lo, hi, place)), pa.array(inside), pa.array(some & (copies == 1))]
+                    yield pa.RecordBatch.from_arrays(columns, ["d", "lo", "hi", "place", "inside", "open"])
+
+    repeated = known.filter("runs IS NOT NULL").select("d", "digest", "copies", "places", "runs")
+    texts = stage(keyed.select("digest", "text").join(repeated, "digest").dropDuplicates(["digest"]), "repeated-texts")
+    spots = texts.select("d", "text", "copies", "places", "runs").mapInArrow(groups_of, "d long, lo int, hi int, place int, inside long, open boolean")
+    spots = stage(spots, "string-groups")
+    # a group is looked at byte by byte where it is open in a text and stands in two places
+    shared = spots.groupBy("inside").agg(F.count("*").alias("n"), F.max("open").alias("asked")).filter("n > 1 AND asked").select("inside")
+    hits = _open_hits(texts.select("d", "text"), spots.join(shared, "inside", "left_semi").drop("inside"), length, block)
+    hits = hits.groupBy("d").agg(F.collect_list(F.struct("lo", "hi")).alias("spots"))
+    facts = known.join(hits, "d", "left").drop("d")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, datas in _texts(batches):
             rows = []
-            for data, copies, found, starts in zip(datas, *(batch.column(c).to_pylist() for c in ("copies", "runs", "starts"))):
+            for data, copies, places, found, spots in zip(datas, *(batch.column(c).to_pylist() for c in ("copies", "places", "runs", "spots"))):
                 if copies > 1 and len(data) >= length:
                     gone = np.ones(len(data), bool)
                 elif not found:
                     gone = np.zeros(len(data), bool)
                 else:
-                    hit = _windows(data, {r["i"]: r["run"] for r in found}, length, gram, span)[3].astype(np.int64)
-                    hit[starts or []] = 1
+                    hit = _sure(np.array(places, np.int64), {r["i"]: r["run"] for r in found}, len(data) - length + 1, length, gram).astype(np.int64)
+                    hit[_spans(spots or [])] = 1
                     ways = np.concatenate([hit, np.zeros(len(data) + 1 - len(hit), np.int64)])
                     ways[np.flatnonzero(hit) + length] -= 1
                     gone = np.cumsum(ways)[: len(data)] > 0
@@ -311,4 +372,4 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, span:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], out.names)
 
     out = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").fields])
-    return keyed.join(facts, "digest").select("doc_id", "text", "copies", "runs", "starts").mapInArrow(remove, out)
+    return keyed.join(facts, "digest").select("doc_id", "text", "copies", "places", "runs", "spots").mapInArrow(remove, out)

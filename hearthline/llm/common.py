@@ -33,10 +33,20 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/hearthline/{label}-{uuid.uuid4().hex}"
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """The same rows, written once to the shared folder and read back: cuts the lineage and survives lost executors."""
+    """The same rows, written once to the shared folder and read back: cuts the lineage and survives lost executors. The write's
+    shuffle files, which nothing reads after it, are freed at its end, not when the driver next collects garbage."""
     path = new_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_FREE_SHUFFLES, "false")
+    conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(_FREE_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

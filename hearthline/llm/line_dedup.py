@@ -27,11 +27,13 @@ LETTERS = "etaoinsrhldumc"
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, pos, line and place (orders occurrences) of every line that counts."""
+    base = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(-(1 << 63)).cast("decimal(20,0)")) * 2147483648  # once a text
     return (
-        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(text_or_empty(), "\n")).alias("pos", "raw"))
-        .select("doc_id", "text_hash", "pos", F.btrim("raw", F.lit(BLANK)).alias("line"))
+        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), base.alias("base"), text_or_empty().alias("text"))
+        .select("doc_id", "text_hash", "base", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+        .select("doc_id", "text_hash", "base", "pos", F.btrim("raw", F.lit(BLANK)).alias("line"))
         .filter(F.col("line") != "")
-        .withColumn("place", (F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(-(1 << 63)).cast("decimal(20,0)")) * 2147483648 + F.col("pos")).cast("decimal(38,0)"))
+        .select("doc_id", "text_hash", "pos", "line", (F.col("base") + F.col("pos")).cast("decimal(38,0)").alias("place"))
     )
 
 

@@ -249,9 +249,9 @@ def _(c: Inputs) -> DataFrame:
 
 @query("r17_copurchase_by_account", _copurchase_sql("SELECT DISTINCT o_custkey AS b, l_partkey AS p FROM lineitem JOIN orders ON l_orderkey = o_orderkey"), ints="rank")
 def _(c: Inputs) -> DataFrame:
-    """All that an account ever bought is one basket; those of over 48 products are multiplied by blocks."""
+    """All that an account ever bought is one basket."""
     lines = c.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("product_id"))
-    return copurchase(lines.join(c.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey"), basket="o_custkey", large=48)
+    return copurchase(lines.join(c.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey"), basket="o_custkey")
 
 
 # --- experiments -------------------------------------------------------------------------------------------

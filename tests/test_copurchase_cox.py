@@ -9,6 +9,7 @@ from itertools import permutations
 import numpy as np
 import pytest
 
+from hearthline.operators import copurchase as pairs
 from hearthline.operators.copurchase import copurchase
 from hearthline.operators.hazards import cox_probs, fit_cox
 
@@ -38,6 +39,29 @@ def test_copurchase_equals_plain_version(spark, large, block):
     assert copurchase(df.limit(0), 5).collect() == []
 
 
+@pytest.mark.parametrize("far", [1, 1 << 40, -(1 << 62) // 60])
+def test_copurchase_of_accounts_lists_ordinary_baskets(spark, tmp_path, monkeypatch, far):
+    """Baskets of 60 products are no matrix blocks, whose number grows with the square of the products; a product with more pairs
+    than a task counts is dealt to several; ids may lie far apart."""
+    from hearthline.plans import registry
+
+    rng = random.Random(5)
+    bought = [(b, far * (i if i else 1)) for b in range(40) for i in [0, *rng.sample(range(60), 55 + b % 5)]]
+    orders = spark.createDataFrame([(b, b) for b in range(40)], "o_orderkey long, o_custkey long")
+    orders.selectExpr("*", "'F' AS o_orderstatus", "1D AS o_totalprice", "TIMESTAMP_NTZ'2000-01-01 00:00:00' AS o_orderdate", "'' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = spark.createDataFrame(bought, "l_orderkey long, l_partkey long")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def never(k):
+        raise AssertionError("baskets of accounts were multiplied by blocks")
+
+    monkeypatch.setattr(pairs, "_multiply", never)
+    got = {tuple(r) for r in registry.run("r17_copurchase_by_account", spark, str(tmp_path)).collect()}
+    assert got == plain_partners(bought, 10)
+    dealt = copurchase(lines, 10, "l_orderkey", "l_partkey", cell=500).collect()
+    assert {tuple(r) for r in dealt} == plain_partners(bought, 10) and len(dealt) == len(got)
+
+
 def plain_cox(x, t, e):
     """Newton steps on Efron's likelihood, with loops over event times."""
     beta = np.zeros(x.shape[1])

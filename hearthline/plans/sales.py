@@ -10,6 +10,7 @@ from hearthline.operators import attribution, evaluation, experiments, hazards,
 from hearthline.operators.copurchase import copurchase
 from hearthline.plans.fixtures import AS_OF, SALES_AS_OF
 from hearthline.plans.registry import Inputs, query
+from hearthline.sources.staging import stage
 
 CASES = """sum(amount * p) AS expected_revenue, sum(CASE WHEN p >= 0.3 THEN amount ELSE 0 END) AS best_case_revenue,
   sum(CASE WHEN p >= 0.6 THEN amount ELSE 0 END) AS moderate_case_revenue, sum(CASE WHEN p >= 0.9 THEN amount ELSE 0 END) AS worst_case_revenue"""
@@ -363,13 +364,15 @@ def _(c: Inputs) -> DataFrame:
     return survival.kaplan_meier(_survival(c), ["industry"])
 
 
-def _features(c: Inputs) -> DataFrame:
-    opp = revenue.opportunity_features(c.opportunities, c.opportunity_history, SALES_AS_OF)
-    filled = opp.na.fill(0, ["amount_variance", "stage_duration_days"])
-    return _survival(c).join(filled, "opportunity_id")
+COVARIATES = ["stage_change_count", "amount_variance", "history_record_count", "days_since_created"]
 
 
-COVARIATES = ["stage_change_count", "amount_variance", "history_record_count", "days_since_created"]
+def _features(c: Inputs) -> DataFrame:
+    """What models learn from and score, written once: a fit reads its rows at every step."""
+    opp = revenue.opportunity_features(c.opportunities, c.opportunity_history, SALES_AS_OF)
+    filled = opp.na.fill(0, ["amount_variance"])
+    joined = _survival(c).join(filled, "opportunity_id")
+    return stage(joined.select("opportunity_id", "is_closed", "is_won", "duration_days", "event_lost", *COVARIATES), "deal-features")
 
 
 @query("m7_survival_probs")

@@ -43,7 +43,7 @@ def test_copurchase_equals_plain_version(spark, large, block):
 def test_copurchase_of_accounts_lists_ordinary_baskets(spark, tmp_path, monkeypatch, far):
     """Baskets of 60 products are no matrix blocks, whose number grows with the square of the products; a product with more pairs
     than a task counts is dealt to several; ids may lie far apart."""
-    from hearthline.plans import registry
+    from hearthline.plans import registry, sales  # noqa: F401  (importing registers the queries)
 
     rng = random.Random(5)
     bought = [(b, far * (i if i else 1)) for b in range(40) for i in [0, *rng.sample(range(60), 55 + b % 5)]]
@@ -116,3 +116,21 @@ def test_cox_without_a_fit(spark, rows):
     model = fit_cox(df, ["a", "b"])
     assert not model.fitted
     assert [(r.survival_prob_30d, r.survival_fitted) for r in cox_probs(model, df).collect()] == [(1.0, False)] * len(rows)
+
+
+@pytest.mark.parametrize("name", ["m7_cox_survival", "m9_held_out_quality"])
+def test_fits_read_their_features_once(spark, name, monkeypatch):
+    """A fit's steps read written features and do not join orders with their lines again."""
+    from hearthline.plans import registry, sales
+
+    plans = []
+
+    def seen(df, *rest, **more):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return make(df, *rest, **more)
+
+    owner, fit = (sales.hazards, "fit_cox") if name.startswith("m7") else (sales.modelling, "fit_classifier")
+    make = getattr(owner, fit)
+    monkeypatch.setattr(owner, fit, seen)
+    assert registry.run(name, spark, "/root/testdata/sf0.001").count()
+    assert plans and not any("l_orderkey" in p or "Join" in p for p in plans)

@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from hearthline.operators.dedupe import top_per_group
 
 
-def purchases(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Distinct (account, product) pairs with the ordered quantity."""
-    joined = orders.select("order_id", "account_id").join(lines.select("order_id", "product_id", "quantity"), "order_id")
-    return joined.groupBy("account_id", "product_id").agg(F.sum("quantity").alias("quantity"))
+#: Lines that one task joins or sums, so that its memory does not grow with the table.
+TASK_LINES = 1 << 20
+
+
+def purchases(orders: DataFrame, lines: DataFrame, task_lines: int = TASK_LINES) -> DataFrame:
+    """Distinct (account, product) pairs with the ordered quantity. The lines are counted while the plan is built: so many tasks
+    join and sum them that each has about ``task_lines``."""
+    n = max(lines.sparkSession.sparkContext.defaultParallelism, lines.count() // task_lines + 1)
+    told = orders.select("order_id", "account_id").repartition(n, "order_id")
+    joined = told.join(lines.select("order_id", "product_id", "quantity").repartition(n, "order_id"), "order_id")
+    return joined.repartition(n, "account_id", "product_id").groupBy("account_id", "product_id").agg(F.sum("quantity").alias("quantity"))
 
 
 def owners(bought: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -36,18 +43,22 @@ def cooccurrence(bought: DataFrame, accounts: DataFrame) -> DataFrame:
 def recommend(bought: DataFrame, accounts: DataFrame, n: int = 5) -> DataFrame:
     """The n best-scored products of each account's segment that the account has not bought, ranked.
 
-    Among the first n + b products of a segment, an account with b purchases misses at least n (or all there
-    are), so each account asks for exactly those places: rows grow with accounts and purchases, not with
-    accounts x products. Places past the end of the segment's list find no product. A place many accounts ask
-    for is a many-to-one join key, which AQE splits when it grows large.
+    Among the first n + b products of a segment, an account with b purchases misses at least n (or all there are). So the places
+    of its own products are taken from those numbers, and only the n first that are left ask for their product: rows grow with
+    purchases, and behind them with n per account. Places past the end of the segment's list find no product, nor does the one
+    place that a null product leaves empty, for which one more is asked. A place many accounts ask for is a many-to-one join
+    key, which AQE splits when it grows large.
     """
     places = segment_places(cooccurrence(bought, accounts))
-    asked = owners(bought, accounts).select(
-        "account_id", "segment", F.explode(F.sequence(F.lit(1), (F.col("owned") + n).cast("int"))).alias("place")
-    )
-    fresh = asked.join(places, ["segment", "place"]).join(
-        bought.select("account_id", "product_id"), ["account_id", "product_id"], "left_anti"
+    who = bought.select("account_id", "product_id").join(accounts.select("account_id", "segment"), "account_id")
+    taken = who.join(places.select("segment", "product_id", "place"), ["segment", "product_id"])
+    taken = taken.groupBy("account_id", "segment").agg(F.collect_set("place").alias("taken"))
+    first = F.sequence(F.lit(1), (F.col("owned") + n).cast("int"))
+    left = F.slice(F.array_except(first, F.coalesce("taken", F.array().cast("array<int>"))), 1, n + 1)
+    asked = owners(bought, accounts).join(taken, ["account_id", "segment"], "left").select(
+        "account_id", "segment", F.explode(left).alias("place")
     )
+    fresh = asked.join(places, ["segment", "place"])
     ranked = top_per_group(fresh, ["account_id"], [F.col("place")], n, rank="recommendation_rank")
     return ranked.select("account_id", "product_id", "cooccurrence_score", "recommendation_rank")
 

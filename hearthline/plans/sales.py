@@ -202,11 +202,12 @@ def _(c: Inputs) -> DataFrame:
 
 
 def _bought(c: Inputs) -> DataFrame:
+    """Purchases, written once: scores, places and factors all read them."""
     orders = c.table("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("account_id"))
     lines = c.table("lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("quantity")
     )
-    return recommend.purchases(orders, lines)
+    return stage(recommend.purchases(orders, lines), "purchases")
 
 
 def _accounts(c: Inputs) -> DataFrame:

@@ -130,6 +130,23 @@ def test_recommend_equals_brute_force(spark):
     assert got == brute_force(bought, segment, 4)
 
 
+@pytest.mark.parametrize("name", ["r17_recommend", "r17_recommend_cf"])
+def test_recommendations_read_written_purchases(spark, name):
+    """Orders and lines are joined once, and an account's own products are taken from its places without a join of every asked one."""
+    from hearthline.plans import registry, sales  # noqa: F401  (importing registers the queries)
+
+    plan = registry.run(name, spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "LeftAnti" not in plan
+
+
+def test_recommend_with_null_products(spark):
+    rows = [(1, None), (1, 5), (2, None), (2, 5), (2, 6), (3, 7), (3, 8), (3, 9), (4, None), (4, 9)]
+    df = spark.createDataFrame(rows, "account_id int, product_id int")
+    accounts = spark.createDataFrame([(a, "S") for a in range(1, 5)], "account_id int, segment string")
+    got = sorted((r.account_id, r.product_id, r.recommendation_rank) for r in recommend.recommend(df, accounts, 2).collect())
+    assert got == sorted([(1, 9, 1), (1, 6, 2), (2, 9, 1), (2, 7, 2), (3, 5, 1), (3, 6, 2), (4, 5, 1), (4, 6, 2)])
+
+
 def test_cf_scores(spark):
     rows = [(a, p, 5.0) for a in range(12) for p in range(6) if (a + p) % 3]
     bought = spark.createDataFrame(rows, "account_id int, product_id int, quantity double")

@@ -99,6 +99,23 @@ def test_language_model(spark, odd):
     assert language_model.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_language_model_grows(spark):
+    """More words than a head holds, each followed by its own: contexts beyond one part's rows and head count too."""
+    rng = random.Random(5)
+    pairs = [(f"first{k}", f"second{k}") for k in range(3_000)]
+    rows = [(k, " ".join(" ".join(rng.choice(pairs)) for _ in range(12))) for k in range(3_000)]
+    rows += [(k, "hot " * 40) for k in range(5_000, 5_400)] + [(None, rows[2][1]), (6_000, rows[2][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    gain = {}
+    for size in (5_000, 1 << 20):
+        got = language_model.score(docs, part_tokens=size).collect()
+        assert len(got) == len(rows) and all(r.n_tokens == len((dict(rows)[r.doc_id]).split()) + 1 for r in got)
+        assert len({r.score for r in got if r.doc_id in (None, 2, 6_000)}) == 1  # equal texts
+        held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 3_000]
+        gain[size] = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+    assert gain[5_000] > gain[1 << 20] + 0.2 and gain[5_000] > 0.4, gain
+
+
 def test_class_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(k, f"a b c w{k % 7} w{k % 3} é{k}") for k in range(50)], "doc_id long, text string")
     lex = language_model.lexicon(language_model.token_table(docs))

@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter
 
+from hearthline.llm import suffix_dedup as sd
 from hearthline.llm.suffix_dedup import anchors, suffix_dedup
 
 import numpy as np
@@ -61,3 +62,31 @@ def test_same_as_plain(spark):
 
 def test_empty_table(spark):
     assert suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_periods(spark):
+    """Stretches of a short period have no anchors inside (before, one each period), and lose what a plain count finds."""
+    assert len(anchors(np.frombuffer(b"x" * 40_000, np.uint8), 16, 128)) == 0
+    assert len(anchors(np.frombuffer(b"lorem " * 7_000, np.uint8), 16, 128)) == 0
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    units = [word(n) for n in (1, 1, 2, 3, 4, 5)]
+    rows = [(k, "".join(rng.choice([rng.choice(units) * rng.randint(5, 60), word(rng.randint(0, 90)), "one passage that stands in many of the texts "]) for _ in range(4))) for k in range(80)]
+    rows += [(100, units[5] * 100), (101, units[5] * 13), (102, units[5][2:] + units[5] * 12 + "ab"), (103, "q" * 64), (104, "q" * 63 + "r"), (105, "z" * 64), (106, "y" + "z" * 64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix_dedup(docs, length=64, gram=6, span=20).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == plain(rows, 64)
+    assert 30 < sum(r.n_removed > 0 for r in got) < len(rows)
+
+
+def test_few_blocks_of_near_copies(spark, monkeypatch):
+    """Of strings that near copies share, one member of each class is looked at in blocks (before, all of them)."""
+    rng = random.Random(5)
+    base = "".join(rng.choices("abcdefgh ", k=3_000))
+    rows = [(k, base[: 40 * k + 300] + chr(65 + k) + base[40 * k + 301 :]) for k in range(50)]
+    seen = []
+    stage = sd.stage
+    monkeypatch.setattr(sd, "stage", lambda df, label: seen.append((label, stage(df, label))) or seen[-1][1])
+    got = suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == plain(rows, 400)
+    assert next(df for label, df in seen if label == "string-blocks").count() < 50 * 3_000 // 16 // 2

@@ -44,11 +44,13 @@ def _segment(length: Column, i: Column, threshold: int) -> tuple[Column, Column]
     return size * i + F.greatest(F.lit(0), more - parts + i), size + (more >= parts - i).cast("int")
 
 
-def _key(line: Column, length: Column, i: Column, shift: Column, threshold: int) -> Column:
-    """The hash of what stands where a line of ``length`` characters would have its segment i, moved by ``shift``."""
+def _key(line: Column, length: Column, i: Column, shift: Column, threshold: int, simple: Column) -> Column:
+    """The hash of what stands where a line of ``length`` characters would have its segment i, moved by ``shift``. In ``simple``
+    lines each character is a byte, so that none need be counted."""
     begin, size = _segment(length, i, threshold)
+    part = F.when(simple, F.substring(line.cast("binary"), begin + shift + 1, size)).otherwise(F.substring(line, begin + shift + 1, size).cast("binary"))
     # 48 bits: candidates are checked, and there are many probes
-    return F.xxhash64(i, length, F.substring(line, begin + shift + 1, size)).bitwiseAND(F.lit((1 << 48) - 1))
+    return F.xxhash64(i, length, part).bitwiseAND(F.lit((1 << 48) - 1))
 
 
 def _moves(threshold: int) -> list[tuple[int, int, int]]:
@@ -63,10 +65,13 @@ def _moves(threshold: int) -> list[tuple[int, int, int]]:
 
 
 def _tally(line: Column) -> Column:
-    """The counts of the commonest letters, each modulo 4, in one small number."""
-    count = lambda c: F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
-    counts = [F.shiftleft(count(c).bitwiseAND(F.lit(3)), 2 * k) for k, c in enumerate(LETTERS)]
-    return reduce(lambda a, b: a.bitwiseOR(b), counts)
+    """The counts of the commonest letters, each modulo 4, in one small number. Each letter is counted in what the earlier ones
+    left, which is ever shorter."""
+    left = [line]
+    for c in LETTERS:
+        left.append(F.replace(left[-1], F.lit(c), F.lit("")))
+    counts = [F.octet_length(a) - F.octet_length(b) for a, b in zip(left, left[1:])]
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(n.bitwiseAND(F.lit(3)), 2 * k) for k, n in enumerate(counts)])
 
 
 def _tallies_apart(x: Column, y: Column) -> Column:
@@ -107,12 +112,13 @@ def within(a: str, b: str, threshold: int = THRESHOLD) -> Column:
 def links(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """a and b (ids) of all pairs of distinct lines (id, line, tally) within the threshold."""
     moves = [F.struct(*(F.lit(x).alias(n) for x, n in zip(m, ("less", "i", "shift")))) for m in _moves(threshold)]
-    columns = F.length("line").alias("length"), "line", "tally"
-    # a row for each segment or move first, then one small expression for the key
-    segments = lines.select(F.col("id").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(threshold))).alias("i"), *columns)
-    index = segments.select(_key(F.col("line"), F.col("length"), F.col("i"), F.lit(0), threshold).alias("key"), "a", F.col("tally").alias("tally_a"))
-    moved = lines.select(F.col("id").alias("b"), F.explode(F.array(*moves)).alias("m"), *columns).select("b", "m.*", "length", "line", "tally")
-    probe = moved.select(_key(F.col("line"), F.col("length") - F.col("less"), F.col("i"), F.col("shift"), threshold).alias("key"), "b", F.shiftleft("tally", 2).bitwiseOR(F.col("less")).alias("more"))
+    columns = "length", "line", "tally", "simple"
+    # the length once a line; then a row for each segment or move, with one small expression for the key
+    measured = lines.select("id", F.length("line").alias("length"), "line", "tally", (F.length("line") == F.octet_length("line")).alias("simple"))
+    segments = measured.select(F.col("id").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(threshold))).alias("i"), *columns)
+    index = segments.select(_key(F.col("line"), F.col("length"), F.col("i"), F.lit(0), threshold, F.col("simple")).alias("key"), "a", F.col("tally").alias("tally_a"))
+    moved = measured.select(F.col("id").alias("b"), F.explode(F.array(*moves)).alias("m"), *columns).select("b", "m.*", *columns)
+    probe = moved.select(_key(F.col("line"), F.col("length") - F.col("less"), F.col("i"), F.col("shift"), threshold, F.col("simple")).alias("key"), "b", F.shiftleft("tally", 2).bitwiseOR(F.col("less")).alias("more"))
     # tally and difference share a number, as there are many probes
     assert threshold < 4
     less, tally_b = F.col("more").bitwiseAND(F.lit(3)), F.shiftright("more", 2)

@@ -84,3 +84,19 @@ def test_short_lines_and_clashing_columns(spark):
     got = {int(r.doc_id): r for r in ld.line_dedup(docs).collect()}
     assert got[0].cleaned == rows[0][1] and {(r.gone, r.h, r.n_links) for r in got.values()} == {("x", "z", 0)}
     assert all(got[k].cleaned == f"Story number {k} of the day\n\n" and got[k].n_removed == 3 for k in range(1, 30))
+
+
+def test_keys_of_simple_lines_and_tallies(spark):
+    """Lines of one-byte characters get the same keys by bytes as by characters; letters are counted in what earlier ones left,
+    and tell no more than two for an edit."""
+    F = ld.F
+    rng = random.Random(3)
+    base = ["".join(rng.choices("etaoinsrhl é" if k % 2 else "etaoinsrhldumc ", k=rng.randint(40, 80))) for k in range(40)]
+    pairs = [(x, edited(rng, x, k)) for x in base for k in (0, 1, 2, 3, 6)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    both = [ld._key(F.col("a"), F.length("a"), F.lit(i), F.lit(0), 2, way).alias(f"{name}{i}") for i in range(3) for name, way in (("own", F.length("a") == F.octet_length("a")), ("any", F.lit(False)))]
+    apart = ld._tallies_apart(ld._tally(F.col("a")), ld._tally(F.col("b"))).alias("apart")
+    for (a, b), r in zip(pairs, df.select(*both, apart, ld._tally(F.col("a")).alias("tally")).collect()):
+        assert [r[f"own{i}"] for i in range(3)] == [r[f"any{i}"] for i in range(3)]
+        assert r.tally == sum(a.count(c) % 4 << 2 * k for k, c in enumerate(ld.LETTERS))
+        assert r.apart <= 2 * distance(a, b)

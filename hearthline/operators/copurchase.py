@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from hearthline.operators.dedupe import top_per_group
+from hearthline.operators.pair_counts import counted
 from hearthline.sources.staging import stage
 
 #: Distinct products up to which a basket is sent to each of its products; larger ones are multiplied block by block.
 LARGE = 256
-#: Pairs that one task counts.
+#: Pairs of a product that one task counts.
 CELL = 1 << 22
 #: Products in a block of the product matrix.
 BLOCK = 2048
@@ -27,23 +27,27 @@ def copurchase(
     ``rank`` (ties by partner). Repeated rows of a basket count once, null baskets or products not at all; products that
     share no basket with another have no row. ``item`` is an integer.
 
-    The counts are the product of the basket x product matrix with itself. An ordinary basket goes as one sorted list to each of
-    its products, whose task counts the partners in all lists: at most ``large`` for each bought row. There are so many tasks
-    that each counts about ``cell`` pairs; a product with more has its partners dealt to several tasks. Of a larger basket the
-    pairs are never listed: its products fall into blocks, each pair of blocks is one task group that multiplies the two parts of
-    the matrix over all large baskets, adds the counts that ordinary baskets gave the same pairs, and returns its k best partners
-    per product. So a basket with a third of all rows is spread over (products / block)² groups. The lists are written once to the
-    shared folder; pairs, products with many of them and products in large baskets are counted while the plan is built.
+    The counts are the product of the basket x product matrix with itself. An ordinary basket goes as one sorted list to the tasks
+    of its products, which count the partners in all lists (``pair_counts``): at most ``large`` for each bought row. Of a larger
+    basket the pairs are never listed: its products fall into blocks, each pair of blocks is one task group that multiplies the two
+    parts of the matrix over all large baskets, adds the counts that ordinary baskets gave the same pairs, and returns its k best
+    partners per product. So a basket with a third of all rows is spread over (products / block)² groups. Pairs with a product
+    that no larger basket holds need no block, and of them an ordinary count gives only the k best. Purchases and lists are
+    written once to the shared folder; products in large baskets and the pairs of ordinary baskets are counted while the plan is built.
     """
-    bought = baskets.select(F.col(basket).alias("basket"), F.col(item).cast("long").alias("item")).dropna().distinct()
-    sized = bought.join(bought.groupBy("basket").agg(F.count("*").alias("size")), "basket").where("size > 1")
+    bought = stage(baskets.select(F.col(basket).alias("basket"), F.col(item).cast("long").alias("item")).dropna().distinct(), "bought")
+    sized = bought.withColumn("size", F.count("*").over(W.partitionBy("basket"))).where("size > 1")
     part = F.when(F.col("size") > large, F.pmod(F.xxhash64("item"), F.ceil(F.col("size") / large)))  # no list outgrows its row
     listed = stage(sized.groupBy("basket", "size", part.alias("part")).agg(F.sort_array(F.collect_list("item")).alias("items")).drop("part"), "baskets")
     wide = listed.where(F.col("size") > large).select("basket", F.explode("items").alias("item"))
     products = wide.select("item").distinct()
     blocks = -(-products.count() // block)
-    pairs = _counted(listed.where(F.col("size") <= large).select("size", "items"), None if blocks else k, cell)
-    best = pairs
+    ordinary = listed.where(F.col("size") <= large).select("basket", "size", "items")
+    if blocks:
+        each = ordinary.select("basket", F.explode("items").alias("item")).join(products.withColumn("mark", F.lit(True)), "item", "left")
+        marked = F.sort_array(F.collect_list(F.struct("item", F.coalesce("mark", F.lit(False)).alias("mark"))))
+        ordinary = stage(each.groupBy("basket").agg(marked.alias("all")), "baskets").select("basket", F.size("all").alias("size"), F.col("all.item").alias("items"), F.col("all.mark").alias("marks"))
+    best = pairs = counted(ordinary.drop("basket"), k, cell)
     if blocks:
         inside = products.withColumn("place", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
         mine, theirs = inside.withColumnRenamed("place", "i"), inside.select(F.col("item").alias("partner"), F.col("place").alias("j"))
@@ -63,64 +67,6 @@ def copurchase(
     return ranked.select(F.col("item").alias(item), F.col("partner").alias("partner_id"), F.col("n").alias("baskets"), "rank")
 
 
-def _counted(lists: DataFrame, k: int | None, cell: int) -> DataFrame:
-    """item, partner and n, the number of lists that hold both: the k best partners at least, or all."""
-    shape = lists.agg(F.sum(F.col("size") * F.col("size")), F.min(F.col("items")[0]), F.max(F.element_at("items", -1))).first()
-    total, least, most = (x or 0 for x in shape)
-    each = lists.select("size", F.explode("items").alias("item"), F.col("items").cast("array<int>" if -(1 << 31) <= least and most < 1 << 31 else "array<long>").alias("partners"))
-    # products with more pairs than a task counts: fewer than there are tasks
-    often = each.groupBy("item").agg(F.sum("size").alias("pairs")).where(F.col("pairs") > cell)
-    hot = [(r.item, -(-r.pairs // cell)) for r in often.collect()] if total > cell else []
-    dealt = each.select("item", F.lit(0).alias("part"), "partners")
-    if hot:
-        parts = F.broadcast(lists.sparkSession.createDataFrame(hot, "item long, parts int"))
-        spread = each.join(parts, "item", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        spread = spread.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        own = F.filter("partners", lambda p: F.pmod(F.xxhash64(p.cast("long")), F.col("parts")) == F.col("part"))
-        dealt = spread.select("item", "part", F.when(F.col("parts") == 1, F.col("partners")).otherwise(own).alias("partners"))
-    tasks = total // cell + 1
-    return dealt.repartition(int(tasks), "item", "part").select("item", "partners").mapInArrow(_count(k), "item long, partner long, n long")
-
-
-def _count(k: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, sizes, partners = [], [], []
-        for b in batches:
-            items.append(b.column("item").to_numpy())
-            sizes.append(np.diff(b.column("partners").offsets.to_numpy()))
-            partners.append(b.column("partners").flatten().to_numpy())
-        if not sum(map(len, partners)):
-            return
-        ids, row = np.unique(np.concatenate(items), return_inverse=True)
-        a, y = np.repeat(row, np.concatenate(sizes)), np.concatenate(partners).astype(np.int64)
-        del items, partners
-        a, y = a[other := ids[a] != y], y[other]
-        if not len(y):
-            return
-        names = None
-        bits = (int(y.max()) - int(y.min())).bit_length()
-        if bits + len(ids).bit_length() > 62:  # ids too far apart to share an integer with the item
-            names, y = np.unique(y, return_inverse=True)
-            bits = len(names).bit_length()
-        low = int(y.min())
-        key = a << bits | (y - low)
-        key.sort()
-        first = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-        n = np.diff(first, append=len(key))
-        a, y = key[first] >> bits, (key[first] & ((1 << bits) - 1)) + low
-        if k is not None:
-            best = np.argsort(a * (int(n.max()) + 1) + (n.max() - n), kind="stable")  # partners ascend, so ties stay in their order
-            begin = np.searchsorted(a, np.arange(len(ids)))  # the sort keeps each item's places
-            best = best[np.arange(len(a)) - begin[a] < k]
-            a, y, n = a[best], y[best], n[best]
-        y = y if names is None else names[y]
-        for at in range(0, len(a), 1 << 16):
-            s = slice(at, at + (1 << 16))
-            yield pa.RecordBatch.from_pydict({"item": ids[a[s]], "partner": y[s], "n": n[s]})
-
-    return count
-
-
 def _multiply(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def multiply(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows.partner.isna()], rows[rows.item.isna()]

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import glob
+import os
 import random
+import threading
 from collections import Counter
+from contextlib import suppress
 from itertools import permutations
 
 import numpy as np
 import pytest
 
-from hearthline.operators import copurchase as pairs
+from hearthline.operators import copurchase as pairs, pair_counts
 from hearthline.operators.copurchase import copurchase
 from hearthline.operators.hazards import cox_probs, fit_cox
 
@@ -62,6 +66,41 @@ def test_copurchase_of_accounts_lists_ordinary_baskets(spark, tmp_path, monkeypa
     assert {tuple(r) for r in dealt} == plain_partners(bought, 10) and len(dealt) == len(got)
 
 
+def test_copurchase_shuffles_pairs_in_rounds(spark):
+    """Lists dealt to every product take many times the purchases: shuffled at once they filled the disk."""
+    rng = random.Random(6)
+    bought = [(b, i) for b in range(60) for i in rng.sample(range(5000), 240)]
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    before = {p for d in folders for p in glob.glob(f"{d}/*/shuffle_*.data")}
+    most, over = [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.01):
+            now = {p for d in folders for p in glob.glob(f"{d}/*/shuffle_*.data")} - before
+            with suppress(FileNotFoundError):
+                most[0] = max(most[0], sum(map(os.path.getsize, now)))
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    got = {tuple(r) for r in copurchase(spark.createDataFrame(bought, "order_id long, product_id long"), 5, cell=1 << 13).collect()}
+    over.set()
+    watcher.join()
+    assert got == plain_partners(bought, 5)
+    assert 0 < most[0] < 2_000_000  # 3.5 million pairs
+
+
+def test_ordinary_counts_give_all_pairs_of_marked_products_only(spark):
+    """Products that no large basket holds meet no block: of their pairs the best are enough."""
+    rng = random.Random(7)
+    lists = [sorted(rng.sample(range(100), 30)) for _ in range(20)]
+    rows = [(30, x, [i < 10 for i in x]) for x in lists]
+    got = {tuple(r) for r in pair_counts.counted(spark.createDataFrame(rows, "size int, items array<long>, marks array<boolean>"), 3, 1 << 10).collect()}
+    n = Counter(p for x in lists for p in permutations(x, 2))
+    both = {(i, j, m) for (i, j), m in n.items() if i < 10 and j < 10}
+    assert both <= got and max(Counter(i for i, _, _ in got - both).values()) <= 3 * -(-max(30 * sum(i in x for x in lists) for i in range(100)) // (1 << 10))
+    assert {(i, j, m) for i, j, m, r in plain_partners([(b, i) for b, x in enumerate(lists) for i in x], 3)} <= got
+
+
 def plain_cox(x, t, e):
     """Newton steps on Efron's likelihood, with loops over event times."""
     beta = np.zeros(x.shape[1])
